@@ -13,7 +13,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
-_AREAS = ("shop",)
+_AREAS = ("shop", "market")
 
 
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:

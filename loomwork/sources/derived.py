@@ -17,23 +17,31 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def prices(spark: SparkSession, folder: str, asset: str = "p_type") -> DataFrame:
-    """Daily closes ``(date, asset, close)``: mean unit price of the parts shipped that day."""
+    """Daily closes ``(date, asset, close)``: value over quantity shipped that day, in steps of 0.0001.
+
+    Sums run over whole cents and units, so every engine gets the same close. The join carries four narrow
+    columns; the sums are combined map-side, so a much-traded asset reaches the shuffle as one row per task and day.
+    """
     items = table(spark, folder, "lineitem").select(
-        "l_partkey",
         F.to_date("l_shipdate").alias("date"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit"),
+        "l_partkey",
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
+        F.col("l_quantity").cast("bigint").alias("units"),
     )
     parts = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), F.col(asset).alias("asset"))
+    per_unit = F.sum("cents").cast("double") / F.sum("units").cast("double")
     return (
         items.join(parts, "l_partkey")
         .groupBy("date", "asset")
-        .agg(F.round(F.avg("unit"), 4).alias("close"))
+        .agg((F.floor(per_unit * 100.0 + 0.5).cast("double") / 10000.0).alias("close"))
     )
 
 
 def prices_sql(asset: str = "p_type", name: str = "px") -> str:
     return f"""{name} AS (
-  SELECT CAST(l_shipdate AS DATE) AS date, {asset} AS asset, round(avg(l_extendedprice / l_quantity), 4) AS close
+  SELECT CAST(l_shipdate AS DATE) AS date, {asset} AS asset,
+         floor(CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE)
+               / CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) * 100.0::DOUBLE + 0.5::DOUBLE) / 10000.0::DOUBLE AS close
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)"""
 
 
