@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loomwork.operators.features import BY_ASSET, safe_return
+from loomwork.operators.features import by_asset, safe_return
 from loomwork.operators.portfolio import hashed_sector, rolling_beta
 
 YEAR = 252  # trading days
@@ -22,7 +22,7 @@ def _book(dense: DataFrame, weights: DataFrame) -> DataFrame:
     """Weights on the price calendar (gaps 0) with the day's return and the previous weight."""
     grid = dense.select("date", "asset", safe_return(1).alias("ret"))
     held = grid.join(weights, ["date", "asset"], "left").withColumn("w", F.coalesce("w", F.lit(0.0)))
-    return held.withColumn("prev_w", F.lag("w", 1).over(BY_ASSET))
+    return held.withColumn("prev_w", F.lag("w", 1).over(by_asset()))
 
 
 def lagged_portfolio_return(dense: DataFrame, weights: DataFrame) -> DataFrame:
@@ -94,12 +94,12 @@ def arith_drawdown_metrics(series: DataFrame, by: Sequence[str] = ()) -> DataFra
 
 
 def realised_metrics(weights: DataFrame, series: DataFrame) -> DataFrame:
-    """Daily one-way turnover, mean gross exposure, share of winning days, changed weights per day."""
-    moved = weights.withColumn("prev_w", F.lag("w", 1).over(BY_ASSET))
+    """Daily one-way turnover, mean gross exposure, share of winning days, weights per day that moved by more than 1e-12."""
+    moved = weights.withColumn("prev_w", F.lag("w", 1).over(by_asset()))
     change = F.col("w") - F.col("prev_w")
     daily = moved.groupBy("date").agg(
         (F.sum(F.abs(change)) / 2).alias("turnover"), F.sum(F.abs("w")).alias("gross"),
-        F.count_if(F.col("w") != F.col("prev_w")).alias("trades"), F.count("prev_w").alias("known"),
+        F.count_if(F.abs(change) > 1e-12).alias("trades"), F.count("prev_w").alias("known"),
     )
     hits = series.agg(F.avg((F.col("ret") > 0).cast("double"))).scalar()
     later = F.col("known") > 0  # every day but the first has a previous weight

@@ -9,14 +9,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BY_ASSET = W.partitionBy("asset").orderBy("date")
+def by_asset():
+    """Window over one asset's rows in date order."""
+    return W.partitionBy("asset").orderBy("date")
+
 
 FEATURES = ["mom_1m", "mom_3m", "mom_6m", "vol_20", "rev_5"]
 
 
 def pct_change(n: int, close: str = "close") -> Column:
     """n-row return; null where there is no earlier value or it is zero."""
-    return F.try_divide(F.col(close), F.lag(close, n).over(BY_ASSET)) - 1
+    return F.try_divide(F.col(close), F.lag(close, n).over(by_asset())) - 1
 
 
 def safe_return(n: int) -> Column:
@@ -26,13 +29,13 @@ def safe_return(n: int) -> Column:
 
 def full_mean(column: str, n: int) -> Column:
     """Mean of the last ``n`` rows; null unless all of them hold a value."""
-    frame = BY_ASSET.rowsBetween(-(n - 1), 0)
+    frame = by_asset().rowsBetween(-(n - 1), 0)
     return F.when(F.count(column).over(frame) == n, F.avg(column).over(frame))
 
 
 def full_stddev(column: str, n: int) -> Column:
     """Sample deviation of the last ``n`` rows; null unless all of them hold a value."""
-    frame = BY_ASSET.rowsBetween(-(n - 1), 0)
+    frame = by_asset().rowsBetween(-(n - 1), 0)
     return F.when(F.count(column).over(frame) == n, F.stddev_samp(column).over(frame))
 
 
@@ -62,7 +65,7 @@ def reversal_5(dense: DataFrame) -> DataFrame:
 
 def next_day_target(dense: DataFrame) -> DataFrame:
     """The next row's return; the last date has none and is left out."""
-    return daily_returns(dense).select("date", "asset", F.lead("ret", 1).over(BY_ASSET).alias("target")).dropna(subset=["target"])
+    return daily_returns(dense).select("date", "asset", F.lead("ret", 1).over(by_asset()).alias("target")).dropna(subset=["target"])
 
 
 def build_features(dense: DataFrame) -> DataFrame:
@@ -73,7 +76,7 @@ def build_features(dense: DataFrame) -> DataFrame:
     )
     return base.select(
         "date", "asset", "mom_1m", "mom_3m", "mom_6m", F.coalesce(full_stddev("ret", 20), F.lit(0.0)).alias("vol_20"),
-        "rev_5", F.lead("ret", 1).over(BY_ASSET).alias("target"),
+        "rev_5", F.lead("ret", 1).over(by_asset()).alias("target"),
     ).dropna(subset=["target"])
 
 
@@ -84,7 +87,7 @@ def align_features_target(features: DataFrame, target: DataFrame) -> DataFrame:
 
 def forward_returns(dense: DataFrame, horizon: int = 5) -> DataFrame:
     """Return from each row to the ``horizon``-th next one."""
-    ahead = F.lead("close", horizon).over(BY_ASSET)
+    ahead = F.lead("close", horizon).over(by_asset())
     return dense.select("date", "asset", (F.try_divide(ahead, F.col("close")) - 1).alias("fwd_ret"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loomwork.operators.features import BY_ASSET, pct_change
+from loomwork.operators.features import by_asset, pct_change
 
 # The eleven sector names, in the order the hash picks from.
 SECTORS = [
@@ -64,7 +64,7 @@ def beta_to_market(returns: DataFrame) -> DataFrame:
 
 def rolling_beta(returns: DataFrame, rows: int = 60) -> DataFrame:
     """The same slope over each asset's trailing rows; 0 until there are two."""
-    frame = BY_ASSET.rowsBetween(-(rows - 1), 0)
+    frame = by_asset().rowsBetween(-(rows - 1), 0)
     slope = _slope(F.covar_samp("ret", "mkt").over(frame), F.var_samp("mkt").over(frame))
     return with_market(returns).select(
         "date", "asset", F.when(F.count("ret").over(frame) < 2, F.lit(0.0)).otherwise(slope).alias("beta")

@@ -227,7 +227,7 @@ f AS (SELECT date, asset, close / lag(close, 20) OVER (PARTITION BY asset ORDER
 SELECT date, asset, round(raw_mom, 6) + 0.0 AS raw_mom, round(nxt, 6) + 0.0 AS nxt FROM f WHERE raw_mom IS NOT NULL""")
 def _(spark, folder):
     rows = dense(spark, folder, "p_brand").select(
-        "date", "asset", ft.pct_change(20).alias("raw_mom"), F.lead("close", 1).over(ft.BY_ASSET).alias("nxt")
+        "date", "asset", ft.pct_change(20).alias("raw_mom"), F.lead("close", 1).over(ft.by_asset()).alias("nxt")
     )
     return rows.dropna(subset=["raw_mom"])
 

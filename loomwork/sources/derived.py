@@ -49,17 +49,17 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
     """``(id, time_s, amount, v1..v4, user_id, class)``; seconds count from the first event."""
     events = table(spark, folder, "events").select(
         F.col("event_id").alias("id"),
-        seconds("ts").alias("at"),
+        seconds("ts").alias("moment"),
         F.col("value").alias("amount"),
         F.get_json_object("props", "$.k").cast("double").alias("k"),
         "user_id",
         F.when(F.col("event_type") == "error", 1).otherwise(0).alias("class"),
     )
-    start = events.agg(F.min("at")).scalar()
+    start = events.agg(F.min("moment")).scalar()
     ident, user = F.col("id"), F.col("user_id")
     return events.select(
         "id",
-        (F.col("at") - start).alias("time_s"),
+        (F.col("moment") - start).alias("time_s"),
         "amount",
         (F.col("k") / 100).alias("v1"),
         ((user * 37 % 101) / 101).alias("v2"),
@@ -71,11 +71,11 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 TXN_SQL = """ev AS (
-  SELECT event_id AS id, epoch_us(ts) / 1000000.0::DOUBLE AS at, value AS amount,
+  SELECT event_id AS id, epoch_us(ts) / 1000000.0::DOUBLE AS moment, value AS amount,
          CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, user_id,
          CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS class FROM events),
 txn AS (
-  SELECT id, at - (SELECT min(at) FROM ev) AS time_s, amount, k / 100::DOUBLE AS v1,
+  SELECT id, moment - (SELECT min(moment) FROM ev) AS time_s, amount, k / 100::DOUBLE AS v1,
          (user_id * 37 % 101) / 101::DOUBLE AS v2, (id * 7919 % 997) / 997::DOUBLE AS v3,
          ((id + user_id) * 31 % 103) / 103::DOUBLE AS v4, user_id, class FROM ev)"""
 
