@@ -20,6 +20,7 @@ def get_session(app: str = "loomwork", master: str | None = None, **conf: str) -
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings.update(conf)
     for key, value in settings.items():

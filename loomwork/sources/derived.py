@@ -84,19 +84,19 @@ def scores(spark: SparkSession, folder: str) -> DataFrame:
     """``(model, id, score, label)``: three score columns of the same events, with many ties."""
     txn = transactions(spark, folder)
     lists = F.array(
-        F.struct(F.lit("amount").alias("model"), F.round(F.col("amount") / 500, 2).alias("score")),
+        F.struct(F.lit("amount").alias("model"), (F.floor(F.col("amount") / 5) / 100).alias("score")),
         F.struct(F.lit("blend").alias("model"),
-                 F.round((F.col("v1") + F.col("v2") + 2 * F.col("class") * F.col("v3")) / 4, 3).alias("score")),
-        F.struct(F.lit("noise").alias("model"), F.round(F.col("v3"), 3).alias("score")),
+                 (F.floor((F.col("v1") + F.col("v2") + 2 * F.col("class") * F.col("v3")) * 250) / 1000).alias("score")),
+        F.struct(F.lit("noise").alias("model"), (F.floor(F.col("v3") * 1000) / 1000).alias("score")),
     )
     return txn.select("id", F.col("class").alias("label"), F.inline(lists)).select("model", "id", "score", "label")
 
 
 SCORE_SQL = TXN_SQL + """,
 sc AS (
-  SELECT 'amount' AS model, id, round(amount / 500, 2) AS score, class AS label FROM txn
-  UNION ALL SELECT 'blend', id, round((v1 + v2 + 2 * class * v3) / 4, 3), class FROM txn
-  UNION ALL SELECT 'noise', id, round(v3, 3), class FROM txn)"""
+  SELECT 'amount' AS model, id, floor(amount / 5) / 100 AS score, class AS label FROM txn
+  UNION ALL SELECT 'blend', id, floor((v1 + v2 + 2 * class * v3) * 250) / 1000, class FROM txn
+  UNION ALL SELECT 'noise', id, floor(v3 * 1000) / 1000, class FROM txn)"""
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
