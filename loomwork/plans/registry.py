@@ -13,7 +13,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
-_AREAS = ("shop", "market", "books", "transactions", "scoring", "texts", "vectors")
+_AREAS = ("shop", "market", "books", "transactions", "scoring", "texts", "vectors", "live")
 
 
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:

@@ -5,7 +5,7 @@ Each function reads whole tables; the ``*_SQL`` strings are the matching common
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,31 +45,31 @@ def prices_sql(asset: str = "p_type", name: str = "px") -> str:
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)"""
 
 
-def transactions(spark: SparkSession, folder: str) -> DataFrame:
-    """``(id, time_s, amount, v1..v4, user_id, class)``; seconds count from the first event."""
-    events = table(spark, folder, "events").select(
-        F.col("event_id").alias("id"),
-        seconds("ts").alias("moment"),
-        F.col("value").alias("amount"),
-        F.get_json_object("props", "$.k").cast("double").alias("k"),
-        "user_id",
-        F.when(F.col("event_type") == "error", 1).otherwise(0).alias("class"),
-    )
-    start = events.agg(F.min("moment")).scalar()
-    ident, user = F.col("id"), F.col("user_id")
+def as_transactions(events: DataFrame, start: Column) -> DataFrame:
+    """Events, at rest or as a stream, as ``(id, time_s, amount, v1..v4, user_id, class)``.
+
+    ``start`` is the epoch second the times count from.
+    """
+    ident, user = F.col("event_id"), F.col("user_id")
     return events.select(
-        "id",
-        (F.col("moment") - start).alias("time_s"),
-        "amount",
-        (F.col("k") / 100).alias("v1"),
+        ident.alias("id"),
+        (seconds("ts") - start).alias("time_s"),
+        F.col("value").alias("amount"),
+        (F.get_json_object("props", "$.k").cast("double") / 100).alias("v1"),
         ((user * 37 % 101) / 101).alias("v2"),
         ((ident * 7919 % 997) / 997).alias("v3"),
         (((ident + user) * 31 % 103) / 103).alias("v4"),
         "user_id",
-        "class",
+        F.when(F.col("event_type") == "error", 1).otherwise(0).alias("class"),
     )
 
 
+def transactions(spark: SparkSession, folder: str) -> DataFrame:
+    """The event table as transactions; seconds count from the first event."""
+    events = table(spark, folder, "events")
+    return as_transactions(events, events.agg(F.min(seconds("ts"))).scalar())
+
+
 TXN_SQL = """ev AS (
   SELECT event_id AS id, epoch_us(ts) / 1000000.0::DOUBLE AS moment, value AS amount,
          CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, user_id,
