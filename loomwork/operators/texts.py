@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,9 +14,15 @@ from loomwork.operators.ordered import exact_quantiles
 SINGLE_IDF = 1.0 + math.log(1.5)  # a word in one of two texts; a word in both weighs 1
 
 
-def default_stop_words() -> list[str]:
-    """Spark ML's English list; every scorer takes another one as a parameter."""
-    return sorted(set(StopWordsRemover.loadDefaultStopWords("english")))
+# Common English function words. Every scorer takes another list as a parameter.
+STOP_WORDS = """
+a about above after again against all am an and any are as at be because been before being below between both but by
+can could did do does doing down during each few for from further had has have having he her here hers herself him
+himself his how i if in into is it its itself just me more most my myself no nor not now of off on once only or other
+our ours ourselves out over own same she should so some such than that the their theirs them themselves then there
+these they this those through to too under until up very was we were what when where which while who whom why will
+with would you your yours yourself yourselves
+""".split()
 
 
 def _unrolled(documents: DataFrame, pieces: Column) -> DataFrame:

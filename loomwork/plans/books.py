@@ -382,3 +382,66 @@ def _(spark, folder):
     write_month_partitions(px.withColumn("close", -F.col("close")), f"{path}/slice_1")
     write_month_partitions(px, f"{path}/slice_2")
     return read_monthly_panel(spark, f"{path}/slice_*")
+
+
+@register("write_month_partitions", f"WITH {PX25} SELECT strftime(date, '%Y%m')::BIGINT AS ym, count(*) AS n_rows FROM px GROUP BY 1")
+def _(spark, folder):
+    """Rows per month folder, as written and read back (the folder names give ``ym``)."""
+    from loomwork.session import fresh_path
+    from loomwork.sources.files import write_month_partitions
+
+    path = fresh_path(spark, "months")
+    write_month_partitions(prices(spark, folder, "p_brand"), path)
+    return spark.read.parquet(path).groupBy(F.col("ym").cast("bigint").alias("ym")).agg(F.count("*").alias("n_rows"))
+
+
+BAR_SQL = """bars AS (SELECT CAST(l_shipdate AS DATE) AS date, p_brand AS ticker, min(l_extendedprice) AS low, max(l_extendedprice) AS high,
+  CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS volume FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2)"""
+
+
+@register("price_table", f"""WITH {BAR_SQL} SELECT date, ticker, NULL::DOUBLE AS "open", round(high, 6) + 0.0 AS high, round(low, 6) + 0.0 AS low, NULL::DOUBLE AS "close", volume FROM bars""")
+def _(spark, folder):
+    """Typed daily bars written in month folders; every bar is given twice and kept once."""
+    from loomwork.session import fresh_path
+    from loomwork.sources.files import price_table
+
+    path = fresh_path(spark, "bars")
+    parts = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("ticker"))
+    bars = table(spark, folder, "lineitem").join(parts, "l_partkey").groupBy(F.to_date("l_shipdate").alias("date"), "ticker").agg(
+        F.max("l_extendedprice").alias("high"), F.min("l_extendedprice").alias("low"), F.sum(F.col("l_quantity").cast("bigint")).alias("volume")
+    ).withColumns({"open": F.lit(None).cast("double"), "close": F.lit(None).cast("double")})
+    price_table(bars.unionByName(bars), path)
+    return spark.read.parquet(path).drop("ym")
+
+
+@register("concat_monthlies", select_sql(STRAT, "strat", "date", "ret"))
+def _(spark, folder):
+    """Strategy returns written as one CSV folder per month and read back as one series."""
+    from loomwork.session import fresh_path
+    from loomwork.sources.files import concat_monthlies, write_monthly_csv
+
+    path = fresh_path(spark, "monthly")
+    write_monthly_csv(series(spark, folder), path, "returns")
+    return concat_monthlies(spark, path, "returns", "ret double")
+
+
+@register("write_metrics_json", select_sql(SUMMARY, "summary", "", "sharpe cagr max_drawdown"))
+def _(spark, folder):
+    """The backtest summary written as JSON and read back."""
+    from loomwork.session import fresh_path
+    from loomwork.sources.files import write_metrics_json
+
+    path = fresh_path(spark, "metrics")
+    write_metrics_json(bt.backtest_summary(series(spark, folder)), path)
+    return spark.read.schema("sharpe double, cagr double, max_drawdown double").json(path)
+
+
+@register("storage_profile", f"WITH {PX25} SELECT count(DISTINCT strftime(date, '%Y%m')) AS n_months, true AS has_bytes FROM px")
+def _(spark, folder):
+    """Months and bytes of the month-partitioned brand panel, from the file listing."""
+    from loomwork.session import fresh_path
+    from loomwork.sources.files import storage_profile, write_month_partitions
+
+    path = fresh_path(spark, "profile")
+    write_month_partitions(prices(spark, folder, "p_brand"), path)
+    return storage_profile(spark, path).select("n_months", (F.col("total_bytes") > 0).alias("has_bytes"))

@@ -10,8 +10,8 @@ from loomwork.operators import texts as tt
 from loomwork.plans.registry import register, select_sql
 from loomwork.sources.derived import DOC_SQL, QA_SQL, documents, question_answers, table
 
-STOP = tt.default_stop_words()
-STOP_SQL = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP)
+STOP = tt.STOP_WORDS
+STOP_SQL = ", ".join(f"'{w}'" for w in STOP)
 KEYS = ["conv_id", "turn"]
 
 

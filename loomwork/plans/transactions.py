@@ -152,3 +152,15 @@ def _(spark, folder):
 @register("corr_with_label", "WITH " + TXN_SQL + "\n" + " UNION ALL ".join(f"""SELECT '{c}' AS "column", round(corr({c}, class), 6) + 0.0 AS corr FROM txn""" for c in COLUMNS))
 def _(spark, folder):
     return ex.corr_with_label(transactions(spark, folder), COLUMNS)
+
+
+@register("read_csv_table", select_sql(TXN_SQL, "txn", "", "time_s amount v1 v2 v3 v4", "id user_id class"))
+def _(spark, folder):
+    """The transactions written as headered CSV and read back with a stated schema."""
+    from loomwork.session import fresh_path
+    from loomwork.sources.files import read_csv_table
+
+    path = fresh_path(spark, "csv")
+    txn = transactions(spark, folder)
+    txn.write.option("header", True).csv(path)
+    return read_csv_table(spark, path, txn.schema)

@@ -73,14 +73,16 @@ def read_monthly_panel(spark: SparkSession, paths: str, keys: tuple[str, ...] =
 
 
 def concat_monthlies(spark: SparkSession, folder: str, stem: str, columns: str) -> DataFrame:
-    """All ``stem_*.csv`` files of a folder as one table with a DATE; ``columns`` is a DDL list after ``date``."""
-    raw = spark.read.schema(f"date string, {columns}").option("header", True).csv(f"{folder}/{stem}_*.csv")
+    """All ``stem_*`` CSV files or folders as one table with a DATE; ``columns`` is a DDL list after ``date``."""
+    reader = spark.read.schema(f"date string, {columns}").option("header", True).option("recursiveFileLookup", True)
+    raw = reader.csv(f"{folder}/{stem}_*")
     return raw.withColumn("date", F.to_date("date"))
 
 
-def write_monthly_csv(series: DataFrame, path: str) -> None:
-    """Series as CSV, one folder per month."""
-    series.withColumn("ym", F.date_format("date", "yyyyMM")).hint("rebalance", "ym").write.mode("overwrite").partitionBy("ym").option("header", True).csv(path)
+def write_monthly_csv(series: DataFrame, folder: str, stem: str) -> None:
+    """Series as headered CSV below ``folder/stem_csv``, one folder per month."""
+    dated = series.withColumn("ym", F.date_format("date", "yyyyMM")).hint("rebalance", "ym")
+    dated.write.mode("overwrite").partitionBy("ym").option("header", True).csv(f"{folder}/{stem}_csv")
 
 
 def write_metrics_json(metrics: DataFrame, path: str) -> None:
@@ -88,10 +90,14 @@ def write_metrics_json(metrics: DataFrame, path: str) -> None:
     metrics.write.mode("overwrite").json(path)
 
 
-def storage_profile(spark: SparkSession, path: str, fmt: str = "binaryFile", glob: str = "*.parquet") -> DataFrame:
-    """File count and bytes below a path, each file counted once; only file listings are read."""
-    files = spark.read.format(fmt).option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
-    return files.select("path", "length").distinct().agg(F.count("*").alias("n_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"))
+def storage_profile(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
+    """Files, month folders and bytes below a path, each file counted once; no file content is read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    files = listed.select("path", "length").dropDuplicates(["path"])
+    month = F.nullif(F.regexp_extract("path", r"/ym=(\d{6})/", 1), F.lit(""))
+    return files.agg(
+        F.count("*").alias("n_files"), F.count_distinct(month).alias("n_months"), F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes")
+    )
 
 
 def write_vectors(chunks: DataFrame, path: str, mode: str = "append") -> None:

@@ -27,7 +27,7 @@ def stream_score(stream: DataFrame, stats: DataFrame, scorer: Callable[[DataFram
 
 
 def _step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One user's hour. Rows wait until the watermark passes them, then see all earlier rows of their last hour."""
+    """One user's span of time. Rows wait until the watermark passes them, then see all earlier rows of their last hour."""
     at, ident, amount, waiting = (list(x) for x in state.get) if state.exists else ([], [], [], [])
     for frame in frames:
         at += frame["at"].tolist()
@@ -48,8 +48,8 @@ def _step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd
         yield pd.DataFrame({
             "id": i[ready], "user_id": int(key[0]), "velocity_count_1h": ready - first, "velocity_amount_1h": total[ready] - total[first],
         })
-    closes = (int(key[1]) + 1) * HOUR_S
-    if mark >= closes:  # no row of this hour can arrive any more
+    closes = float(key[2])
+    if mark >= closes:  # no row of this span can arrive any more
         state.remove()
         return
     state.update((t.tolist(), i.tolist(), a.tolist(), w.tolist()))
@@ -57,21 +57,24 @@ def _step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd
     state.setTimeoutTimestamp(max(int(due * 1000) + 1, state.getCurrentWatermarkMs() + 1))
 
 
-def stream_velocity(events: DataFrame, delay: str = "1 hour") -> DataFrame:
+def stream_velocity(events: DataFrame, delay: str = "1 hour", span_hours: int = 6) -> DataFrame:
     """Count and spend of each user's previous hour over a stream of ``(event_id, ts, user_id, value)``.
 
-    A row goes to its hour and, as history, to the next one; the hour before a row lies within these two. State
-    is kept per user and hour and removed once the watermark has passed the hour. Rows later than the delay are
-    dropped by the watermark.
+    State is kept per user and span of time and removed once the watermark has passed the span. Rows of a span's
+    last hour are also sent to the next span, as history. Shorter spans spread a busy user over more tasks; rows
+    later than the delay are dropped by the watermark.
     """
+    span = span_hours * HOUR_S
     timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
     at = F.unix_micros("ts") / F.lit(1000000.0)
     rows = timed.select("user_id", F.col("event_id").alias("id"), "ts", at.alias("at"), F.col("value").alias("amount"))
-    hour = F.floor(F.col("at") / HOUR_S)
-    both = rows.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1)))).select(
-        "user_id", (hour + F.col("copy")).alias("hour"), "id", "ts", "at", "amount", (F.col("copy") == 0).alias("native")
+    place = rows.withColumn("span", F.floor(F.col("at") / span)).withColumn("until", (F.col("span") + 1) * span)
+    copies = F.when(F.col("at") >= F.col("until") - HOUR_S, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    sent = place.withColumn("copy", F.explode(copies)).select(
+        "user_id", (F.col("span") + F.col("copy")).alias("span"), (F.col("until") + F.col("copy") * span).alias("until"),
+        "id", "ts", "at", "amount", (F.col("copy") == 0).alias("native"),
     )
-    return both.groupBy("user_id", "hour").applyInPandasWithState(
+    return sent.groupBy("user_id", "span", "until").applyInPandasWithState(
         _step, _OUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
 
