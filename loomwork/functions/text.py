@@ -2,19 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The patterns texts are cut by.
+# The patterns texts are cut by, and the characters that count as white space.
 PARAGRAPH = r"\n\n+"
 SENTENCE = r"(?U)(?<=[.!?])\s+"
-OUTER_SPACE = r"(?U)^\s+|\s+$"
 WORD = r"[\p{L}\p{N}_]{2,}"
+SPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(text: str | Column) -> Column:
     """Without leading and trailing white space of any kind."""
-    return F.regexp_replace(text, OUTER_SPACE, "")
+    return F.btrim(text, F.lit(SPACE))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def words(text: str | Column) -> Column:
@@ -34,35 +44,29 @@ def merge_pieces(pieces: Column, size: int, overlap: int) -> Column:
     """Join pieces into chunks of about ``size`` characters, the tail of a chunk opening the next one.
 
     One fold over the array. The open chunk counts one character per piece for the joining blank, but none after
-    the carried tail; a piece longer than ``size`` stays whole.
+    the carried tail; a piece longer than ``size`` stays whole. Pieces come stripped, so only a carried tail can
+    begin with a blank: it is counted, then left out of the text.
     """
     parts = F.filter(F.transform(pieces, strip), lambda p: F.length(p) > 0)
-    start = F.struct(
-        F.array().cast("array<string>").alias("done"), F.lit("").alias("text"), F.lit(0).alias("used"), F.lit(False).alias("started")
-    )
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("text"), F.lit(0).alias("used"))
 
     def add(state: Column, part: Column) -> Column:
         more = F.length(part) + 1
-        full = state["started"] & (state["used"] + more > size)
-        chunk = strip(state["text"])
-        tail = F.right(chunk, F.lit(overlap)) if overlap else F.lit("")
+        opened = F.length(state["text"]) > 0
         closed = F.struct(
-            F.concat(state["done"], F.array(chunk)).alias("done"),
-            F.when(F.length(tail) > 0, F.concat(tail, F.lit(" "), part)).otherwise(part).alias("text"),
-            (F.length(tail) + more).alias("used"),
-            F.lit(True).alias("started"),
+            F.concat(state["done"], F.array(state["text"])).alias("done"),
+            (F.concat(F.ltrim(F.right(state["text"], F.lit(overlap)), F.lit(SPACE)), F.lit(" "), part) if overlap else part).alias("text"),
+            (F.least(F.length(state["text"]), F.lit(overlap)) + more).alias("used"),
         )
         longer = F.struct(
             state["done"].alias("done"),
-            F.when(state["started"], F.concat(state["text"], F.lit(" "), part)).otherwise(part).alias("text"),
+            F.when(opened, F.concat(state["text"], F.lit(" "), part)).otherwise(part).alias("text"),
             (state["used"] + more).alias("used"),
-            F.lit(True).alias("started"),
         )
-        return F.when(full, closed).otherwise(longer)
+        return F.when(opened & (state["used"] + more > size), closed).otherwise(longer)
 
     def finish(state: Column) -> Column:
-        rest = strip(state["text"])
-        return F.when(F.length(rest) > 0, F.concat(state["done"], F.array(rest))).otherwise(state["done"])
+        return F.when(F.length(state["text"]) > 0, F.concat(state["done"], F.array(state["text"]))).otherwise(state["done"])
 
     return F.aggregate(parts, start, add, finish)
 
@@ -71,10 +75,9 @@ def split_text(text: str | Column, size: int = 512, overlap: int = 50) -> Column
     """Chunks of a whole text: as it is when short, else by paragraphs, else by sentences, else by characters."""
     t = F.col(text) if isinstance(text, str) else text
     none = F.array().cast("array<string>")
-    paragraphs, sentences = F.split(t, PARAGRAPH, -1), F.split(t, SENTENCE, -1)
-    return (
-        F.when(F.length(t) <= size, F.when(F.length(strip(t)) > 0, F.array(t)).otherwise(none))
-        .when(F.size(paragraphs) > 1, merge_pieces(paragraphs, size, overlap))
-        .when(F.size(sentences) > 1, merge_pieces(sentences, size, overlap))
-        .otherwise(hard_split(t, size, overlap))
-    )
+
+    def merged(pieces: Column) -> Column:
+        return F.when(F.size(pieces) > 1, merge_pieces(pieces, size, overlap)).otherwise(hard_split(t, size, overlap))
+
+    by_paragraph = let(F.split(t, PARAGRAPH, -1), lambda p: F.when(F.size(p) > 1, p).otherwise(F.split(t, SENTENCE, -1)))
+    return F.when(F.length(t) <= size, F.when(F.length(strip(t)) > 0, F.array(t)).otherwise(none)).otherwise(let(by_paragraph, merged))

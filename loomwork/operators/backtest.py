@@ -18,32 +18,35 @@ from loomwork.operators.portfolio import hashed_sector, rolling_beta
 YEAR = 252  # trading days
 
 
-def _book(dense: DataFrame, weights: DataFrame) -> DataFrame:
-    """Weights on the price calendar (gaps 0) with the day's return and the previous weight."""
+def book(dense: DataFrame, weights: DataFrame) -> DataFrame:
+    """Weights on the price calendar (gaps 0) with the day's return: ``(date, asset, ret, w)``."""
     grid = dense.select("date", "asset", safe_return(1).alias("ret"))
-    held = grid.join(weights, ["date", "asset"], "left").withColumn("w", F.coalesce("w", F.lit(0.0)))
+    return grid.join(weights.select("date", "asset", "w"), ["date", "asset"], "left").withColumn("w", F.coalesce("w", F.lit(0.0)))
+
+
+def _with_previous(held: DataFrame) -> DataFrame:
     return held.withColumn("prev_w", F.lag("w", 1).over(by_asset()))
 
 
-def lagged_portfolio_return(dense: DataFrame, weights: DataFrame) -> DataFrame:
+GROSS_RET = "sum(coalesce(prev_w, 0D) * ret)"
+TURNOVER = "coalesce(sum(abs(w - prev_w)), 0D)"
+
+
+def lagged_portfolio_return(held: DataFrame) -> DataFrame:
     """Yesterday's weights times today's returns, summed per date."""
-    return _book(dense, weights).groupBy("date").agg(
-        F.sum(F.coalesce("prev_w", F.lit(0.0)) * F.col("ret")).alias("gross_ret")
-    )
+    return _with_previous(held).groupBy("date").agg(F.expr(GROSS_RET).alias("gross_ret"))
 
 
-def turnover_cost(dense: DataFrame, weights: DataFrame, spread_bps: float = 5.0) -> DataFrame:
+def turnover_cost(held: DataFrame, spread_bps: float = 5.0) -> DataFrame:
     """Sum of absolute weight changes times the spread; the first day has none."""
-    return _book(dense, weights).groupBy("date").agg(
-        (F.coalesce(F.sum(F.abs(F.col("w") - F.col("prev_w"))), F.lit(0.0)) * (spread_bps / 10000)).alias("cost")
-    )
+    return _with_previous(held).groupBy("date").agg((F.expr(TURNOVER) * (spread_bps / 10000)).alias("cost"))
 
 
-def strategy_returns(dense: DataFrame, weights: DataFrame, spread_bps: float = 5.0) -> DataFrame:
+def strategy_returns(held: DataFrame, spread_bps: float = 5.0) -> DataFrame:
     """Portfolio return less turnover cost; both sums in one aggregate."""
-    gross = F.sum(F.coalesce("prev_w", F.lit(0.0)) * F.col("ret"))
-    turnover = F.coalesce(F.sum(F.abs(F.col("w") - F.col("prev_w"))), F.lit(0.0))
-    return _book(dense, weights).groupBy("date").agg((gross - turnover * (spread_bps / 10000)).alias("ret"))
+    return _with_previous(held).groupBy("date").agg(
+        (F.expr(GROSS_RET) - F.expr(TURNOVER) * (spread_bps / 10000)).alias("ret")
+    )
 
 
 def _running(by: Sequence[str]):
@@ -110,17 +113,19 @@ def realised_metrics(weights: DataFrame, series: DataFrame) -> DataFrame:
     ).withColumn("hit_ratio", hits)
 
 
-def daily_diagnostics(dense: DataFrame, weights: DataFrame, series: DataFrame, rows: int = 60) -> DataFrame:
-    """Per day: return, net weight, market beta on the trailing rows and the length of the sector vector."""
-    betas = rolling_beta(dense.select("date", "asset", safe_return(1).alias("ret")), rows)
-    held = betas.join(weights, ["date", "asset"], "left").select(
-        "date", hashed_sector().alias("sector"), F.coalesce("w", F.lit(0.0)).alias("w"), "beta"
+def daily_diagnostics(held: DataFrame, spread_bps: float = 5.0, rows: int = 60) -> DataFrame:
+    """Per day: return, net weight, market beta on the trailing rows and the length of the sector vector.
+
+    Betas and previous weights share the window of each asset; sums per (date, sector) are then summed per date.
+    """
+    full = _with_previous(rolling_beta(held, rows))
+    per_sector = full.groupBy("date", hashed_sector().alias("sector")).agg(
+        F.sum("w").alias("w"), F.sum(F.col("w") * F.col("beta")).alias("wb"), F.expr(GROSS_RET).alias("gross"), F.expr(TURNOVER).alias("turnover")
     )
-    per_sector = held.groupBy("date", "sector").agg(F.sum("w").alias("w"), F.sum(F.col("w") * F.col("beta")).alias("wb"))
-    per_day = per_sector.groupBy("date").agg(
-        F.sum("w").alias("net"), F.sum("wb").alias("beta"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("sector_l2")
+    return per_sector.groupBy("date").agg(
+        (F.sum("gross") - F.sum("turnover") * (spread_bps / 10000)).alias("ret"), F.sum("w").alias("net"), F.sum("wb").alias("beta"),
+        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("sector_l2"),
     )
-    return series.select("date", "ret").join(per_day, "date")
 
 
 def constraint_residuals(diagnostics: DataFrame) -> DataFrame:

@@ -48,11 +48,12 @@ def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
     return F.least(F.floor((value - start) / width * bins), F.lit(bins - 1)).cast("int")
 
 
-def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
+def histogram(df: DataFrame, column: str, bins: int, weight: str | None = None) -> DataFrame:
     """Counts per equal-width bin over the whole column; empty bins are not stored."""
-    known = df.select(F.col(column).cast("double").alias("x")).dropna()
+    known = df.select(F.col(column).cast("double").alias("x"), (F.col(weight) if weight else F.lit(1)).alias("n")).dropna()
     ends = known.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
-    return known.withColumn("_e", ends).groupBy(_bin(F.col("x"), F.col("_e.lo"), F.col("_e.hi"), bins).alias("bin")).agg(F.count("*").alias("n"))
+    place = _bin(F.col("x"), F.col("_e.lo"), F.col("_e.hi"), bins)
+    return known.withColumn("_e", ends).groupBy(place.alias("bin")).agg(F.sum("n").alias("n"))
 
 
 def hist_by_class(df: DataFrame, column: str = "amount", label: str = "class", bins: int = 50) -> DataFrame:

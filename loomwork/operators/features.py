@@ -97,12 +97,17 @@ ALPHA_MIX = [(20, 0.4), (63, 0.3), (126, 0.3)]
 
 def expected_alpha(dense: DataFrame) -> DataFrame:
     """Weighted means of raw daily returns; 0 until the longest window is full."""
-    raw = dense.select("date", "asset", pct_change(1).alias("ret"))
+    return with_alpha(dense).select("date", "asset", "alpha")
+
+
+def with_alpha(dense: DataFrame) -> DataFrame:
+    """Add ``ret`` (missing as 0) and ``alpha``, so that a backtest can go on without joining them back."""
+    raw = dense.withColumn("ret", pct_change(1))
     mix = None
     for n, weight in ALPHA_MIX:
         term = F.lit(weight) * full_mean("ret", n)
         mix = term if mix is None else mix + term
-    return raw.select("date", "asset", F.coalesce(mix, F.lit(0.0)).alias("alpha"))
+    return raw.withColumns({"alpha": F.coalesce(mix, F.lit(0.0)), "ret": F.coalesce("ret", F.lit(0.0))})
 
 
 def ts_cv_folds(rows: DataFrame, folds: int = 3) -> DataFrame:

@@ -40,13 +40,16 @@ def running_totals(df: DataFrame, order: Sequence[str], totals: dict[str, Column
     ])
 
 
-def exact_quantiles(df: DataFrame, column: str, points: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+def exact_quantiles(df: DataFrame, column: str, points: Sequence[float], by: Sequence[str] = (),
+                    weight: str | None = None) -> DataFrame:
     """Linear-interpolated quantiles ``(by…, q, value)`` without gathering a group's values in one place.
 
     Equal values are counted first; a value covers the ranks between two running counts, so the one or two rows
-    each quantile needs are picked by rank.
+    each quantile needs are picked by rank. ``weight`` names a column of counts where rows are already counted.
     """
-    counted = df.filter(F.col(column).isNotNull()).groupBy(*by, F.col(column).cast("double").alias("_x")).agg(F.count("*").alias("_n"))
+    counted = df.filter(F.col(column).isNotNull()).groupBy(*by, F.col(column).cast("double").alias("_x")).agg(
+        (F.sum(weight) if weight else F.count("*")).alias("_n")
+    )
     ranked = running_totals(counted, ["_x"], {"_upto": F.col("_n")}, by)
     sizes = ranked.groupBy(*by).agg(F.max("_upto").alias("_total"))
     wanted = sizes.select(*by, "_total", F.explode(F.array(*[F.lit(float(q)) for q in points])).alias("q")).select(

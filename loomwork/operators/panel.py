@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from loomwork.functions.text import strip
+
 
 def calendar_of(panel: DataFrame) -> DataFrame:
     """Distinct dates."""
@@ -156,7 +158,7 @@ def ragged_to_panel(arrays: DataFrame) -> DataFrame:
 
 def canonical_ticker(rows: DataFrame, column: str = "asset") -> DataFrame:
     """Trim (any white space) and upper-case."""
-    return rows.withColumn(column, F.upper(F.regexp_replace(column, r"(?U)^\s+|\s+$", "")))
+    return rows.withColumn(column, F.upper(strip(column)))
 
 
 def align_to_feature_list(rows: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:

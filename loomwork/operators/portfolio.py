@@ -63,12 +63,11 @@ def beta_to_market(returns: DataFrame) -> DataFrame:
 
 
 def rolling_beta(returns: DataFrame, rows: int = 60) -> DataFrame:
-    """The same slope over each asset's trailing rows; 0 until there are two."""
+    """Add the same slope over each asset's trailing rows; 0 until there are two."""
     frame = by_asset().rowsBetween(-(rows - 1), 0)
     slope = _slope(F.covar_samp("ret", "mkt").over(frame), F.var_samp("mkt").over(frame))
-    return with_market(returns).select(
-        "date", "asset", F.when(F.count("ret").over(frame) < 2, F.lit(0.0)).otherwise(slope).alias("beta")
-    )
+    beta = F.when(F.count("ret").over(frame) < 2, F.lit(0.0)).otherwise(slope)
+    return with_market(returns).withColumn("beta", beta).drop("mkt")
 
 
 def exposure_matrix(returns: DataFrame, sectors: DataFrame | None = None) -> DataFrame:
@@ -98,7 +97,7 @@ def neutrality_pass_rate(bands: DataFrame) -> DataFrame:
 
 
 def signal_weights(raw: DataFrame, cap: float, gross_limit: float, net_target: float = 0.0) -> DataFrame:
-    """Clean raw weights per date: clip, shift to the net target, scale down to the gross limit, shift again.
+    """Clean raw weights ``w`` per date: clip, shift to the net target, scale down to the gross limit, shift again.
 
     The three passes share one partitioning by date, so there is one shuffle.
     """
@@ -108,7 +107,7 @@ def signal_weights(raw: DataFrame, cap: float, gross_limit: float, net_target: f
         off = F.sum("w").over(day) - net_target
         return df.withColumn("w", F.when(F.abs(off) > 1e-9, F.col("w") - off / F.count("w").over(day)).otherwise(F.col("w")))
 
-    clipped = raw.select("date", "asset", F.greatest(F.lit(-cap), F.least(F.lit(cap), F.col("w"))).alias("w"))
+    clipped = raw.withColumn("w", F.greatest(F.lit(-cap), F.least(F.lit(cap), F.col("w"))))
     gross = F.sum(F.abs("w")).over(day)
     scaled = shifted(clipped).withColumn(
         "w", F.when(gross > gross_limit, F.col("w") * (F.lit(gross_limit) / (gross + 1e-12))).otherwise(F.col("w"))
@@ -117,8 +116,8 @@ def signal_weights(raw: DataFrame, cap: float, gross_limit: float, net_target: f
 
 
 def demeaned(panel: DataFrame, value: str = "alpha") -> DataFrame:
-    """Values less their mean of the date, as raw weights."""
-    return panel.select("date", "asset", (F.col(value) - F.avg(value).over(W.partitionBy("date"))).alias("w"))
+    """Add values less their mean of the date, as raw weights ``w``."""
+    return panel.withColumn("w", F.col(value) - F.avg(value).over(W.partitionBy("date")))
 
 
 # --- covariance ------------------------------------------------------------

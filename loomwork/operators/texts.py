@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loomwork.functions.text import hard_split, split_text, strip, words
 from loomwork.operators.explore import histogram
 from loomwork.operators.ordered import exact_quantiles
+from loomwork.session import cut_lineage, spread
 
 SINGLE_IDF = 1.0 + math.log(1.5)  # a word in one of two texts; a word in both weighs 1
 
@@ -28,7 +29,8 @@ with would you your yours yourself yourselves
 def _unrolled(documents: DataFrame, pieces: Column) -> DataFrame:
     """One row per piece. Index and count are those before blank pieces are dropped."""
     rest = [c for c in documents.columns if c != "content"]
-    rows = documents.select(*rest, pieces.alias("_p")).select(*rest, F.size("_p").alias("chunk_count"), F.posexplode("_p").alias("chunk_index", "content"))
+    source = documents if documents.isStreaming else spread(documents)
+    rows = source.select(*rest, pieces.alias("_p")).select(*rest, F.size("_p").alias("chunk_count"), F.posexplode("_p").alias("chunk_index", "content"))
     return rows.withColumn("content", strip("content")).filter(F.length("content") > 0)
 
 
@@ -45,23 +47,29 @@ def hard_split_documents(documents: DataFrame, size: int = 512, overlap: int = 5
 def chunk_size_sweep(documents: DataFrame, settings: list[tuple[int, int]]) -> DataFrame:
     """Number of chunks per (size, overlap); the texts are read once for all settings."""
     counts = [F.size(F.filter(split_text("content", s, o), lambda p: F.length(strip(p)) > 0)).alias(f"n_{i}") for i, (s, o) in enumerate(settings)]
-    sums = documents.select(*counts).agg(*[F.sum(f"n_{i}").alias(f"n_{i}") for i in range(len(settings))])
+    sums = spread(documents.select("content")).select(*counts).agg(*[F.sum(f"n_{i}").alias(f"n_{i}") for i in range(len(settings))])
     rows = F.array(*[F.struct(F.lit(s).alias("size"), F.lit(o).alias("overlap"), F.col(f"n_{i}").alias("n_chunks")) for i, (s, o) in enumerate(settings)])
     return sums.select(F.inline(rows))
 
 
+def length_counts(chunks: DataFrame) -> DataFrame:
+    """``(len, n)``: chunks of each length. Stored, because the summaries below read it more than once."""
+    return cut_lineage(chunks.groupBy(F.length("content").alias("len")).agg(F.count("*").alias("n")))
+
+
 def chunk_length_stats(chunks: DataFrame) -> DataFrame:
     """Mean, median, shortest and longest chunk."""
-    lengths = chunks.select(F.length("content").alias("len"))
-    median = exact_quantiles(lengths, "len", [0.5]).select("value").scalar()
-    return lengths.agg(
-        F.avg("len").alias("mean_len"), F.min("len").alias("min_len"), F.max("len").alias("max_len"), F.count("*").alias("n_chunks")
+    counts = length_counts(chunks)
+    median = exact_quantiles(counts, "len", [0.5], weight="n").select("value").scalar()
+    return counts.agg(
+        (F.sum(F.col("len") * F.col("n")) / F.sum("n")).alias("mean_len"), F.min("len").alias("min_len"), F.max("len").alias("max_len"),
+        F.sum("n").alias("n_chunks"),
     ).withColumn("median_len", median)
 
 
 def chunk_length_hist(chunks: DataFrame, bins: int = 15) -> DataFrame:
     """Histogram of the chunk lengths."""
-    return histogram(chunks.select(F.length("content").alias("len")), "len", bins)
+    return histogram(length_counts(chunks), "len", bins, weight="n")
 
 
 def chunk_length_quartiles(chunks: DataFrame) -> DataFrame:
@@ -196,15 +204,16 @@ def answer_faithfulness(rows: DataFrame, stop_words: list[str]) -> DataFrame:
 def context_relevance_tfidf(rows: DataFrame, keys: list[str], stop_words: list[str]) -> DataFrame:
     """Mean cosine of ``question`` with each of its ``contexts`` under the TF-IDF of the question and its contexts.
 
-    Words are counted per (question, word, text) map-side; a question's texts are k + 1, so its word rows are small.
+    ``keys`` (a unique key, and whatever else is to be kept) stay in the result. Rows are dealt by key once; the
+    four aggregates after that all group by the key and more, so they need no further shuffle.
     """
-    n_texts = F.size("contexts") + 1
-    texts = rows.select(*keys, n_texts.alias("n"), F.posexplode(F.concat(F.array("question"), F.col("contexts"))).alias("place", "text"))
-    token = texts.select(*keys, "n", "place", F.explode(content_words("text", stop_words)).alias("w"))
-    counted = token.groupBy(*keys, "n", "place", "w").agg(F.count("*").cast("double").alias("c"))
+    dealt = rows.select(*keys, F.concat(F.array("question"), F.col("contexts")).alias("texts")).repartition(*keys)
+    texts = dealt.select(*keys, F.size("texts").alias("n"), F.posexplode("texts").alias("place", "text"))
+    token = texts.select(*keys, "n", "place", F.explode_outer(content_words("text", stop_words)).alias("w"))
+    counted = token.groupBy(*keys, "n", "place", "w").agg(F.count("w").cast("double").alias("c"))
     per_word = counted.groupBy(*keys, "n", "w").agg(
-        F.count("*").alias("df"), F.max(F.when(F.col("place") == 0, F.col("c")).otherwise(F.lit(0.0))).alias("q"),
-        F.collect_list(F.struct("place", "c")).alias("texts"),
+        F.count_if(F.col("c") > 0).alias("df"), F.max(F.when(F.col("place") == 0, F.col("c")).otherwise(F.lit(0.0))).alias("q"),
+        F.collect_list(F.struct("place", "c")).alias("texts"),  # at most one entry per text of the question
     )
     idf = F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1
     weighed = per_word.select(*keys, "n", F.inline("texts"), (F.col("q") * idf).alias("qw"), idf.alias("idf"))
@@ -212,15 +221,15 @@ def context_relevance_tfidf(rows: DataFrame, keys: list[str], stop_words: list[s
         F.sum(F.col("c") * F.col("idf") * F.col("qw")).alias("dot"), F.sum(F.pow(F.col("c") * F.col("idf"), F.lit(2.0))).alias("norm")
     )
     q_norm = F.max(F.when(F.col("place") == 0, F.col("norm")))
-    parts = F.sum(F.when(F.col("place") > 0, F.col("dot") / F.sqrt("norm")))
-    scored = per_text.groupBy(*keys, "n").agg((parts / F.sqrt(q_norm) / (F.col("n") - 1)).alias("context_relevance"))
-    return rows.select(*keys).join(scored.drop("n"), keys, "left").withColumn("context_relevance", F.coalesce("context_relevance", F.lit(0.0)))
+    parts = F.sum(F.when(F.col("place") > 0, F.try_divide(F.col("dot"), F.sqrt("norm"))))
+    score = F.try_divide(F.try_divide(parts, F.sqrt(q_norm)), F.col("n") - 1)
+    return per_text.groupBy(*keys, "n").agg(F.coalesce(score, F.lit(0.0)).alias("context_relevance")).drop("n")
 
 
 def rag_scores(rows: DataFrame, keys: list[str], stop_words: list[str]) -> DataFrame:
     """The three scores and their mean (of unrounded values), to four digits."""
-    pairs = answer_relevancy(answer_faithfulness(rows, stop_words), stop_words).select(*keys, "answer_faithfulness", "answer_relevancy")
-    joined = context_relevance_tfidf(rows, keys, stop_words).join(pairs, keys)
+    pairs = rows.transform(answer_faithfulness, stop_words).transform(answer_relevancy, stop_words)
     names = ["context_relevance", "answer_faithfulness", "answer_relevancy"]
+    scored = context_relevance_tfidf(pairs, [*keys, *names[1:]], stop_words)
     overall = (F.col(names[0]) + F.col(names[1]) + F.col(names[2])) / 3
-    return joined.select(*keys, *[F.round(n, 4).alias(n) for n in names], F.round(overall, 4).alias("overall"))
+    return scored.select(*keys, *[F.round(n, 4).alias(n) for n in names], F.round(overall, 4).alias("overall"))

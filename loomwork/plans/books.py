@@ -71,12 +71,17 @@ expo AS (SELECT date, factor, sum(loading * w) AS exposure FROM wts JOIN loads U
 bands AS (SELECT date, factor, exposure, abs(exposure) <= CASE WHEN factor = 'MKT' THEN 0.01 ELSE 0.03 END AS within FROM expo)"""
 
 
+def held(spark, folder):
+    """Momentum weights next to the returns they earn: one chain of windows, no join."""
+    return pf.signal_weights(pf.demeaned(ft.with_alpha(dense(spark, folder))), CAP, GROSS).select("date", "asset", "ret", "w")
+
+
 def weights(spark, folder):
-    return pf.signal_weights(pf.demeaned(alphas(spark, folder)), CAP, GROSS)
+    return held(spark, folder).select("date", "asset", "w")
 
 
 def series(spark, folder, spread=SPREAD):
-    return bt.strategy_returns(dense(spark, folder), weights(spark, folder), spread)
+    return bt.strategy_returns(held(spark, folder), spread)
 
 
 def exposures(spark, folder):
@@ -85,7 +90,7 @@ def exposures(spark, folder):
 
 
 def diagnostics(spark, folder):
-    return bt.daily_diagnostics(dense(spark, folder), weights(spark, folder), series(spark, folder))
+    return bt.daily_diagnostics(held(spark, folder), SPREAD)
 
 
 # --- weights and exposures ---------------------------------------------------
@@ -149,7 +154,7 @@ def _(spark, folder):
 
 @register("rolling_beta_60", select_sql(f"{RETS},\n{BETA}", "betas", "date asset", "beta"))
 def _(spark, folder):
-    return pf.rolling_beta(ft.daily_returns(dense(spark, folder)), 60)
+    return pf.rolling_beta(ft.daily_returns(dense(spark, folder)), 60).select("date", "asset", "beta")
 
 
 SPARSE = f"""{PX25}, rets AS (SELECT date, asset, close / nullif(lag(close) OVER (PARTITION BY asset ORDER BY date), 0) - 1 AS ret FROM px)"""
@@ -180,17 +185,18 @@ def _(spark, folder):
 
 @register("lagged_portfolio_return", select_sql(STRAT, "strat", "date", "gross_ret"))
 def _(spark, folder):
-    return bt.lagged_portfolio_return(dense(spark, folder), weights(spark, folder))
+    return bt.lagged_portfolio_return(held(spark, folder))
 
 
 @register("turnover_cost", select_sql(STRAT, "strat", "date", "cost", digits=8), digits=8)
 def _(spark, folder):
-    return bt.turnover_cost(dense(spark, folder), weights(spark, folder), SPREAD)
+    return bt.turnover_cost(held(spark, folder), SPREAD)
 
 
 @register("strategy_returns", select_sql(STRAT, "strat", "date", "ret"))
 def _(spark, folder):
-    return series(spark, folder)
+    """A table of weights against a table of prices."""
+    return bt.strategy_returns(bt.book(dense(spark, folder), weights(spark, folder)), SPREAD)
 
 
 @register("backtest_summary", select_sql(SUMMARY, "summary", "", "sharpe cagr max_drawdown"))
@@ -201,9 +207,7 @@ def _(spark, folder):
 @register("signal_backtest", select_sql(SUMMARY, "summary", "", "sharpe cagr max_drawdown"))
 def _(spark, folder):
     """Prices → alpha → weights → daily returns → summary, in one plan."""
-    panel = dense(spark, folder)
-    book = pf.signal_weights(pf.demeaned(ft.expected_alpha(panel)), CAP, GROSS)
-    return bt.backtest_summary(bt.strategy_returns(panel, book, SPREAD))
+    return bt.backtest_summary(bt.strategy_returns(held(spark, folder), SPREAD))
 
 
 @register("cumulative_pnl", select_sql(SUMMARY, "cum", "date", "cum"))
@@ -353,7 +357,7 @@ def _(spark, folder):
     """Days whose return changes when costs are left out, at four digits; the second run lacks 1995."""
     name = F.concat(F.lit("d"), F.date_format("date", "yyyyMMdd")).alias("metric")
     old = series(spark, folder).select(name, F.round("ret", 4).alias("value"))
-    free = bt.lagged_portfolio_return(dense(spark, folder), weights(spark, folder))
+    free = bt.lagged_portfolio_return(held(spark, folder))
     new = free.filter(F.col("date") >= F.to_date(F.lit("1996-01-01"))).select(name, F.round("gross_ret", 4).alias("value"))
     return gates.metric_diff(old, new)
 

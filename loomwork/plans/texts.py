@@ -8,6 +8,7 @@ from loomwork.functions.text import split_text, strip
 from loomwork.operators import gates
 from loomwork.operators import texts as tt
 from loomwork.plans.registry import register, select_sql
+from loomwork.session import spread
 from loomwork.sources.derived import DOC_SQL, QA_SQL, documents, question_answers, table
 
 STOP = tt.STOP_WORDS
@@ -158,7 +159,7 @@ ctx AS (SELECT doc_id, filename, content, rank FROM ranked WHERE rank <= 5)"""
 def contexts(spark, folder):
     """Questions and answers, each with the first five chunks of the document of its conversation."""
     pieces = F.slice(F.filter(F.transform(split_text("content"), strip), lambda p: F.length(p) > 0), 1, 5)
-    docs = documents(spark, folder).select(F.col("doc_id").alias("conv_id"), "filename", pieces.alias("contexts"))
+    docs = spread(documents(spark, folder)).select(F.col("doc_id").alias("conv_id"), "filename", pieces.alias("contexts"))
     joined = question_answers(spark, folder).join(docs, "conv_id", "left")
     return joined.withColumn("contexts", F.coalesce("contexts", F.array().cast("array<string>")))
 

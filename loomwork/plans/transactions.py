@@ -92,10 +92,10 @@ def _(spark, folder):
     return tx.standard_scale(transactions(spark, folder), ["amount", "time_s"]).select("id", "amount", "time_s")
 
 
-@register("score_decision", """SELECT event_id AS id, round(round(value / 500, 3), 4) + 0.0 AS fraud_probability,
-CASE WHEN round(value / 500, 3) >= 0.782 THEN 'fraud' ELSE 'legitimate' END AS prediction, 0.782::DOUBLE AS threshold FROM events""")
+@register("score_decision", """SELECT event_id AS id, round(floor(value * 2) / 1000, 4) + 0.0 AS fraud_probability,
+CASE WHEN floor(value * 2) / 1000 >= 0.782::DOUBLE THEN 'fraud' ELSE 'legitimate' END AS prediction, 0.782::DOUBLE AS threshold FROM events""")
 def _(spark, folder):
-    scored = table(spark, folder, "events").select(F.col("event_id").alias("id"), F.round(F.col("value") / 500, 3).alias("score"))
+    scored = table(spark, folder, "events").select(F.col("event_id").alias("id"), (F.floor(F.col("value") * 2) / 1000).alias("score"))
     return tx.score_decision(scored, 0.782).drop("score")
 
 

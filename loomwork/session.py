@@ -54,3 +54,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later stages read the stored rows, whatever executor is lost."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows over all cores when the input has fewer partitions than that (a few large files).
+
+    For work that costs far more per row than moving the row; well-split input is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

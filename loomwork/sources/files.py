@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomwork.functions.text import strip
 from loomwork.operators.panel import keep_last
 
 PRICE_SCHEMA = T.StructType([
@@ -40,7 +41,7 @@ def read_text_docs(spark: SparkSession, folder: str, suffix: str = ".txt") -> Da
 
 def _as_documents(files: DataFrame, suffix: str) -> DataFrame:
     """Whole files as documents. ``decode`` puts U+FFFD in place of bytes that are not UTF-8."""
-    text = F.regexp_replace(F.expr("decode(content, 'UTF-8')"), r"(?U)^\s+|\s+$", "")
+    text = strip(F.expr("decode(content, 'UTF-8')"))
     return files.select(
         text.alias("content"),
         F.col("path").alias("source"),

@@ -52,17 +52,20 @@ def _step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd
     if mark >= closes:  # no row of this span can arrive any more
         state.remove()
         return
+    keep = w | (t > mark - HOUR_S)  # older rows are no longer in anybody's last hour
+    t, i, a, w = t[keep], i[keep], a[keep], w[keep]
     state.update((t.tolist(), i.tolist(), a.tolist(), w.tolist()))
     due = t[w].min() if w.any() else closes
     state.setTimeoutTimestamp(max(int(due * 1000) + 1, state.getCurrentWatermarkMs() + 1))
 
 
-def stream_velocity(events: DataFrame, delay: str = "1 hour", span_hours: int = 6) -> DataFrame:
+def stream_velocity(events: DataFrame, delay: str = "1 hour", span_hours: int = 168) -> DataFrame:
     """Count and spend of each user's previous hour over a stream of ``(event_id, ts, user_id, value)``.
 
-    State is kept per user and span of time and removed once the watermark has passed the span. Rows of a span's
-    last hour are also sent to the next span, as history. Shorter spans spread a busy user over more tasks; rows
-    later than the delay are dropped by the watermark.
+    State is kept per user and span of time: the rows still waiting and those of the hour before the watermark. It
+    is removed once the watermark has passed the span. Rows of a span's last hour are also sent to the next span,
+    as history, so a busy user's backlog is spread over one task per span. Rows later than the delay are dropped
+    by the watermark.
     """
     span = span_hours * HOUR_S
     timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
