@@ -120,6 +120,9 @@ def demeaned(panel: DataFrame, value: str = "alpha") -> DataFrame:
     return panel.withColumn("w", F.col(value) - F.avg(value).over(W.partitionBy("date")))
 
 
+_NO_NAMES, _NO_NUMBERS = np.array([], dtype=object), np.array([], dtype=float)  # typed empty columns
+
+
 # --- covariance ------------------------------------------------------------
 
 def _by_block_pair(returns: DataFrame, block: int) -> DataFrame:
@@ -162,7 +165,7 @@ def cov_ridge(returns: DataFrame, ridge: float = 1e-6, block: int = 128) -> Data
     def cov(group: pd.DataFrame) -> pd.DataFrame:
         _, x, left, y, right, same = _two_sides(group)
         if not left or not right:
-            return pd.DataFrame({"asset_a": [], "asset_b": [], "cov": []})
+            return pd.DataFrame({"asset_a": _NO_NAMES, "asset_b": _NO_NAMES, "cov": _NO_NUMBERS})
         x, y = x - np.nanmean(x, axis=0), y - np.nanmean(y, axis=0)
         mx, my = ~np.isnan(x), ~np.isnan(y)
         x0, y0 = np.where(mx, x, 0.0), np.where(my, y, 0.0)
@@ -171,7 +174,8 @@ def cov_ridge(returns: DataFrame, ridge: float = 1e-6, block: int = 128) -> Data
             c = (x0.T @ y0 - (x0.T @ my) * (mx.T @ y0) / n) / (n - 1)
         c = np.where(n > 1, c, 0.0)
         rows = [(a, b, c[i, j]) for i, j, a, b in _pairs(left, right, same)]
-        return pd.DataFrame(rows, columns=["asset_a", "asset_b", "cov"])
+        names = [np.array([r[k] for r in rows], dtype=object) for k in (0, 1)]
+        return pd.DataFrame({"asset_a": names[0], "asset_b": names[1], "cov": np.array([r[2] for r in rows], dtype=float)})
 
     pairs = _by_block_pair(returns, block).groupBy("bi", "bj").applyInPandas(cov, "asset_a string, asset_b string, cov double")
     same = (F.col("asset_a") == F.col("asset_b")).cast("double")
@@ -192,8 +196,9 @@ def rolling_cov(returns: DataFrame, rows: int = 60, block: int = 32) -> DataFram
 
     def roll(group: pd.DataFrame) -> pd.DataFrame:
         dates, x, left, y, right, same = _two_sides(group)
-        out = []
-        if len(dates) >= rows and left and right:
+        first, second, values = [], [], []
+        days = np.asarray(dates)[rows - 1:]
+        if len(days) and left and right:
             x, y = x - x.mean(axis=0), y - y.mean(axis=0)
 
             def trailing(v):
@@ -201,15 +206,19 @@ def rolling_cov(returns: DataFrame, rows: int = 60, block: int = 32) -> DataFram
                 return total[rows:] - total[:-rows]
 
             sx, sy = trailing(x), trailing(y)
-            days = np.asarray(dates)[rows - 1:]
             for i in range(len(left)):
-                # one row of the block at a time: memory stays at days × block
+                # one row of the block at a time
                 cov = (trailing(x[:, [i]] * y) - sx[:, [i]] * sy / rows) / (rows - 1)
-                for k, j, a, b in _pairs([left[i]], right, same):
-                    out.append(pd.DataFrame({"date": days, "asset_a": a, "asset_b": b, "cov": cov[:, j]}))
-        if not out:
-            return pd.DataFrame({"date": [], "asset_a": [], "asset_b": [], "cov": []})
-        return pd.concat(out, ignore_index=True)
+                for _, j, a, b in _pairs([left[i]], right, same):
+                    first.append(a)
+                    second.append(b)
+                    values.append(cov[:, j])
+        return pd.DataFrame({
+            "date": np.tile(days, len(values)),
+            "asset_a": np.repeat(np.array(first, dtype=object), len(days)),
+            "asset_b": np.repeat(np.array(second, dtype=object), len(days)),
+            "cov": np.concatenate(values) if values else _NO_NUMBERS,
+        })
 
     return _by_block_pair(complete_dates(returns), block).groupBy("bi", "bj").applyInPandas(
         roll, "date date, asset_a string, asset_b string, cov double"

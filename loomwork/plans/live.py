@@ -63,7 +63,7 @@ def _(spark, folder):
 @register("stream_velocity", select_sql("""cut AS (SELECT (epoch_ms(max(ts)) - 3600000) * 1000 AS passed FROM events),
 o AS (SELECT a.event_id AS id, a.user_id, count(b.event_id) AS velocity_count_1h, coalesce(sum(b.value), 0) AS velocity_amount_1h
   FROM events a LEFT JOIN events b ON b.user_id = a.user_id AND b.ts >= a.ts - INTERVAL 1 HOUR AND (b.ts < a.ts OR (b.ts = a.ts AND b.event_id < a.event_id))
-  WHERE epoch_us(a.ts) <= (SELECT passed FROM cut) GROUP BY 1, 2)""", "o", "", "velocity_amount_1h", "id user_id velocity_count_1h"))
+  WHERE epoch_us(a.ts) < (SELECT passed FROM cut) GROUP BY 1, 2)""", "o", "", "velocity_amount_1h", "id user_id velocity_count_1h"))
 def _(spark, folder):
     """Rows the watermark has passed; those of the last hour still wait."""
     events = event_stream(spark, folder).select("event_id", "ts", "user_id", "value")

@@ -40,8 +40,8 @@ def read_text_docs(spark: SparkSession, folder: str, suffix: str = ".txt") -> Da
 
 
 def _as_documents(files: DataFrame, suffix: str) -> DataFrame:
-    """Whole files as documents. ``decode`` puts U+FFFD in place of bytes that are not UTF-8."""
-    text = strip(F.expr("decode(content, 'UTF-8')"))
+    """Whole files as documents, U+FFFD in place of bytes that are not UTF-8."""
+    text = strip(F.make_valid_utf8(F.col("content").cast("string")))
     return files.select(
         text.alias("content"),
         F.col("path").alias("source"),

@@ -28,19 +28,21 @@ def stream_score(stream: DataFrame, stats: DataFrame, scorer: Callable[[DataFram
 
 def _step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """One user's span of time. Rows wait until the watermark passes them, then see all earlier rows of their last hour."""
+    mark = state.getCurrentWatermarkMs() / 1000.0
     at, ident, amount, waiting = (list(x) for x in state.get) if state.exists else ([], [], [], [])
     for frame in frames:
+        frame = frame[frame["at"] >= mark]  # later rows would change counts already given out
         at += frame["at"].tolist()
         ident += frame["id"].tolist()
         amount += frame["amount"].tolist()
         waiting += frame["native"].tolist()
-    if state.hasTimedOut and not at:
-        state.remove()
+    if not at:
+        if state.exists:
+            state.remove()
         return
     order = np.lexsort((ident, at))
     t, i, a, w = np.array(at)[order], np.array(ident)[order], np.array(amount)[order], np.array(waiting, dtype=bool)[order]
-    mark = state.getCurrentWatermarkMs() / 1000.0
-    ready = np.flatnonzero(w & (t <= mark))
+    ready = np.flatnonzero(w & (t < mark))
     if len(ready):
         first = np.searchsorted(t, t[ready] - HOUR_S, side="left")
         total = np.concatenate([[0.0], np.cumsum(a)])
@@ -50,13 +52,14 @@ def _step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd
         })
     closes = float(key[2])
     if mark >= closes:  # no row of this span can arrive any more
-        state.remove()
+        if state.exists:
+            state.remove()
         return
-    keep = w | (t > mark - HOUR_S)  # older rows are no longer in anybody's last hour
+    keep = w | (t >= mark - HOUR_S)  # older rows are no longer in anybody's last hour
     t, i, a, w = t[keep], i[keep], a[keep], w[keep]
     state.update((t.tolist(), i.tolist(), a.tolist(), w.tolist()))
     due = t[w].min() if w.any() else closes
-    state.setTimeoutTimestamp(max(int(due * 1000) + 1, state.getCurrentWatermarkMs() + 1))
+    state.setTimeoutTimestamp(max(int(due * 1000), state.getCurrentWatermarkMs() + 1))
 
 
 def stream_velocity(events: DataFrame, delay: str = "1 hour", span_hours: int = 168) -> DataFrame:
