@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.operators.ordered import running_totals
+from loomwork.session import sized
 
 FN_COST, FP_COST = 88.0, 10.0  # fixed values: cost of a missed and of a false alarm
 
@@ -20,8 +21,8 @@ def score_counts(scored: DataFrame, by: str = "model") -> DataFrame:
         F.sum(F.col("label").cast("bigint")).alias("pos_at"), F.count("*").alias("n_at")
     ).withColumn("_down", -F.col("threshold"))
     running = running_totals(counted, ["_down"], {"tp": F.col("pos_at"), "flagged": F.col("n_at")}, by=[by])
-    totals = running.groupBy(by).agg(F.sum("pos_at").alias("n_pos"), F.sum("n_at").alias("n_all"))  # one row per model
-    return running.join(F.broadcast(totals), by).select(
+    totals = running.groupBy(by).agg(F.sum("pos_at").alias("n_pos"), F.sum("n_at").alias("n_all"))
+    return running.join(sized(totals), by).select(
         by, "threshold", "pos_at", (F.col("n_at") - F.col("pos_at")).alias("neg_at"), "tp",
         (F.col("flagged") - F.col("tp")).alias("fp"), "n_pos", (F.col("n_all") - F.col("n_pos")).alias("n_neg"),
     )
@@ -81,10 +82,10 @@ def min_cost_threshold(counts: DataFrame, fn_cost: float = FN_COST, fp_cost: flo
 
 
 def confusion_counts(scored: DataFrame, thresholds: DataFrame, by: str = "model") -> DataFrame:
-    """2×2 counts at one threshold per model (one broadcast row per model)."""
+    """2×2 counts at one threshold per model."""
     flagged = F.col("score") >= F.col("threshold")
     positive = F.col("label") == 1
-    return scored.join(F.broadcast(thresholds.select(by, "threshold")), by).groupBy(by, "threshold").agg(
+    return scored.join(sized(thresholds.select(by, "threshold")), by).groupBy(by, "threshold").agg(
         F.count_if(~flagged & ~positive).alias("tn"), F.count_if(flagged & ~positive).alias("fp"),
         F.count_if(~flagged & positive).alias("fn"), F.count_if(flagged & positive).alias("tp"),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomwork.functions.clock import hour_of_day
 from loomwork.operators.ordered import exact_quantiles
+from loomwork.session import sized
 
 
 def class_balance(df: DataFrame, label: str = "class") -> DataFrame:
@@ -57,9 +58,9 @@ def histogram(df: DataFrame, column: str, bins: int, weight: str | None = None)
 
 
 def hist_by_class(df: DataFrame, column: str = "amount", label: str = "class", bins: int = 50) -> DataFrame:
-    """The same per class, each class over its own range (one broadcast row per class)."""
+    """The same per class, each class over its own range."""
     ends = df.groupBy(label).agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
-    placed = df.select(label, column).dropna().join(F.broadcast(ends), label)
+    placed = df.select(label, column).dropna().join(sized(ends), label)
     return placed.groupBy(label, _bin(F.col(column), F.col("lo"), F.col("hi"), bins).alias("bin")).agg(F.count("*").alias("n"))
 
 
@@ -77,7 +78,7 @@ def kde_by_class(df: DataFrame, column: str, label: str = "class", points: int =
         F.count(column).alias("n"), F.stddev_samp(column).alias("sd"), F.min(column).alias("lo"), F.max(column).alias("hi")
     ).select(label, "n", (F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("h"), "lo", (F.col("hi") - F.col("lo")).alias("range"))
     values = df.select(label, F.col(column).cast("double").alias("x")).dropna().groupBy(label, "x").agg(F.count("*").alias("c"))
-    placed = values.join(F.broadcast(stats.filter("n > 1 and h > 0")), label)
+    placed = values.join(sized(stats.filter("n > 1 and h > 0")), label)
     step = F.col("range") * (2.0 / (points - 1))
     grid = placed.select(label, "x", "c", "n", "h", "lo", "range", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
     at = F.col("lo") - F.col("range") * 0.5 + F.col("point") * step

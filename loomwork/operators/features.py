@@ -117,15 +117,15 @@ def ts_cv_folds(rows: DataFrame, folds: int = 3) -> DataFrame:
     position within the date, so no window spans the whole table.
     """
     per_day = rows.groupBy("date").agg(F.count("*").alias("_n"))
+    calendar = W.orderBy("date")
     before = per_day.select(
-        "date",
-        (F.sum("_n").over(W.orderBy("date")) - F.col("_n")).alias("_before"),
+        "date", (F.sum("_n").over(calendar) - F.col("_n")).alias("_before"),
+        F.sum("_n").over(calendar.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("_total"),
     )
-    total = rows.agg(F.count("*")).scalar()
     place = F.row_number().over(W.partitionBy("date").orderBy("asset"))
     numbered = rows.withColumn("_place", place).join(F.broadcast(before), "date").withColumn("row", F.col("_before") + F.col("_place") - 1)
-    size = F.floor(total / F.lit(folds + 1))
+    size = F.floor(F.col("_total") / F.lit(folds + 1))
     spread = numbered.withColumn("fold", F.explode(F.sequence(F.lit(1), F.lit(folds))))
-    start = total - (F.lit(folds + 1) - F.col("fold")) * size
+    start = F.col("_total") - (F.lit(folds + 1) - F.col("fold")) * size
     role = F.when(F.col("row") < start, F.lit("train")).when(F.col("row") < start + size, F.lit("test"))
-    return spread.withColumn("role", role).drop("_place", "_before").dropna(subset=["role"])
+    return spread.withColumn("role", role).drop("_place", "_before", "_total").dropna(subset=["role"])

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from loomwork.operators.ordered import running_totals
 from loomwork.operators.vectors import nearest
+from loomwork.session import sized
 
 # The grid the search draws from.
 SEARCH_GRID = {
@@ -35,9 +36,9 @@ def stratified_split(df: DataFrame, label: str = "class", ident: str = "id", tes
     """Add ``split``: of each class, the last ceil(n × test_size) rows in hash order are the test rows."""
     shuffled = df.withColumn("_h", mixed(ident, seed))
     ranked = running_totals(shuffled, ["_h", ident], {"_rank": F.lit(1)}, by=[label])
-    sizes = df.groupBy(label).agg(F.count("*").alias("_n"))  # one row per class
+    sizes = df.groupBy(label).agg(F.count("*").alias("_n"))
     test = F.col("_rank") > F.col("_n") - F.ceil(F.col("_n") * test_size)
-    return ranked.join(F.broadcast(sizes), label).withColumn("split", F.when(test, F.lit("test")).otherwise(F.lit("train"))).drop("_h", "_rank", "_n")
+    return ranked.join(sized(sizes), label).withColumn("split", F.when(test, F.lit("test")).otherwise(F.lit("train"))).drop("_h", "_rank", "_n")
 
 
 def smote(df: DataFrame, features: Sequence[str], label: str = "class", ident: str = "id", k: int = 5, minority: int = 1) -> DataFrame:
@@ -82,8 +83,8 @@ def class_weights(df: DataFrame, label: str = "class") -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str = "class") -> DataFrame:
-    """Attach the balanced weight (one broadcast row per class)."""
-    return df.join(F.broadcast(class_weights(df, label).select(label, "weight")), label)
+    """Attach the balanced weight of each row's class."""
+    return df.join(sized(class_weights(df, label).select(label, "weight")), label)
 
 
 def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from loomwork.operators.blocks import by_block_pair
 from loomwork.operators.features import by_asset, pct_change
 
 # The eleven sector names, in the order the hash picks from.
@@ -125,18 +126,6 @@ _NO_NAMES, _NO_NUMBERS = np.array([], dtype=object), np.array([], dtype=float)
 
 # --- covariance ------------------------------------------------------------
 
-def _by_block_pair(returns: DataFrame, block: int) -> DataFrame:
-    """Hand each pair of asset blocks the returns it needs.
-
-    Assets are hashed into blocks of about ``block``; a row is sent once per block, never paired with other rows,
-    so a group holds (days × two blocks) numbers whatever the size of the universe.
-    """
-    n_blocks = returns.agg(F.ceil(F.count_distinct("asset") / F.lit(block)).cast("int")).scalar()
-    placed = returns.select("date", "asset", "ret", n_blocks.alias("_n")).withColumn("_own", F.pmod(F.xxhash64("asset"), F.col("_n")).cast("int"))
-    spread = placed.select("date", "asset", "ret", "_own", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_other"))
-    return spread.select("date", "asset", "ret", "_own", F.least("_own", "_other").alias("bi"), F.greatest("_own", "_other").alias("bj"))
-
-
 def _two_sides(group: pd.DataFrame):
     """The block pair as (dates, left matrix, left names, right matrix, right names, same block?)."""
     wide = group.pivot(index="date", columns="asset", values="ret").sort_index()
@@ -177,7 +166,7 @@ def cov_ridge(returns: DataFrame, ridge: float = 1e-6, block: int = 128) -> Data
         names = [np.array([r[k] for r in rows], dtype=object) for k in (0, 1)]
         return pd.DataFrame({"asset_a": names[0], "asset_b": names[1], "cov": np.array([r[2] for r in rows], dtype=float)})
 
-    pairs = _by_block_pair(returns, block).groupBy("bi", "bj").applyInPandas(cov, "asset_a string, asset_b string, cov double")
+    pairs = by_block_pair(returns.select("date", "asset", "ret"), "asset", block).groupBy("bi", "bj").applyInPandas(cov, "asset_a string, asset_b string, cov double")
     same = (F.col("asset_a") == F.col("asset_b")).cast("double")
     return pairs.withColumn("_n", n_dates).select(
         "asset_a", "asset_b", F.when(F.col("_n") < 2, same).otherwise(F.col("cov") + same * ridge).alias("cov")
@@ -220,7 +209,7 @@ def rolling_cov(returns: DataFrame, rows: int = 60, block: int = 32) -> DataFram
             "cov": np.concatenate(values) if values else _NO_NUMBERS,
         })
 
-    return _by_block_pair(complete_dates(returns), block).groupBy("bi", "bj").applyInPandas(
+    return by_block_pair(complete_dates(returns.select("date", "asset", "ret")), "asset", block).groupBy("bi", "bj").applyInPandas(
         roll, "date date, asset_a string, asset_b string, cov double"
     )
 

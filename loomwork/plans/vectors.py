@@ -109,7 +109,7 @@ def _(spark, folder):
 top AS (SELECT * FROM found WHERE rank <= 5),
 p AS (SELECT query_id, avg(score) AS context_relevance, string_agg('[' || rank || '] (source: ' || coalesce(filename, 'unknown') || ')' || chr(10) || content, chr(10) || chr(10) ORDER BY rank) AS context
       FROM top LEFT JOIN docs ON doc_id = cand_id GROUP BY 1)
-SELECT query_id::BIGINT AS query_id, 'Answer based on context:' || chr(10) || chr(10) || context || chr(10) || chr(10) || 'Question: What is group ' || query_id || ' about?' || chr(10) || chr(10) || 'Answer:' AS prompt,
+SELECT query_id::BIGINT AS query_id, 'Answer based on context:' || chr(10) || chr(10) || coalesce(context, '') || chr(10) || chr(10) || 'Question: What is group ' || query_id || ' about?' || chr(10) || chr(10) || 'Answer:' AS prompt,
        round(context_relevance, 6) + 0.0 AS context_relevance FROM p""")
 def _(spark, folder):
     """Questions → nearest documents → prompt and retrieval score."""

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_session(app: str = "loomwork", master: str | None = None, **conf: str) -> SparkSession:
@@ -63,3 +64,15 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+SMALL_ROWS = 100_000
+
+
+def sized(summary: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """A summary to be joined to many rows: stored once, counted, and broadcast only when it is small.
+
+    A larger one is joined by key, where adaptive execution splits hot keys.
+    """
+    stored = cut_lineage(summary)
+    return F.broadcast(stored) if stored.count() <= rows else stored

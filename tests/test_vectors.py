@@ -73,3 +73,15 @@ def test_k_sweep(spark):
     found = spark.createDataFrame([(1, 1, 1.0), (1, 2, 0.5), (2, 1, 0.8), (2, 2, 0.0)], "query_id int, rank int, score double")
     got = {r["k"]: (r["mean_cr"], r["std_cr"]) for r in vx.k_sweep(found, [1, 2]).collect()}
     assert got[1] == pytest.approx((0.9, 0.1)) and got[2] == pytest.approx((0.575, 0.175))
+
+
+@pytest.mark.parametrize("block", [2, 512])
+def test_group_similarity(spark, block):
+    m = np.random.default_rng(9).normal(size=(50, 6))
+    u = m / np.linalg.norm(m, axis=1, keepdims=True)
+    group = np.arange(50) % 7
+    df = frame(spark, m, "id").withColumn("label", (F.col("id") % 7).cast("int"))
+    got = {(r["group_a"], r["group_b"]): r["similarity"] for r in vx.similarity_matrix(df, "label", block).collect()}
+    assert len(got) == 28
+    for (a, b), value in got.items():
+        assert value == pytest.approx((u[group == a] @ u[group == b].T).mean())
