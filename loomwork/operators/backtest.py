@@ -116,9 +116,11 @@ def realised_metrics(weights: DataFrame, series: DataFrame) -> DataFrame:
 def daily_diagnostics(held: DataFrame, spread_bps: float = 5.0, rows: int = 60) -> DataFrame:
     """Per day: return, net weight, market beta on the trailing rows and the length of the sector vector.
 
-    Betas and previous weights share the window of each asset; sums per (date, sector) are then summed per date.
+    Weights are made per date, so the market mean is taken there too; betas and previous weights then share the
+    window of each asset, and sums per (date, sector) are summed per date.
     """
-    full = _with_previous(rolling_beta(held, rows))
+    market = held.withColumn("mkt", F.avg("ret").over(W.partitionBy("date")))
+    full = _with_previous(rolling_beta(market, rows))
     per_sector = full.groupBy("date", hashed_sector().alias("sector")).agg(
         F.sum("w").alias("w"), F.sum(F.col("w") * F.col("beta")).alias("wb"), F.expr(GROSS_RET).alias("gross"), F.expr(TURNOVER).alias("turnover")
     )

@@ -27,12 +27,6 @@ def safe_return(n: int) -> Column:
     return F.coalesce(pct_change(n), F.lit(0.0))
 
 
-def full_mean(column: str, n: int) -> Column:
-    """Mean of the last ``n`` rows; null unless all of them hold a value."""
-    frame = by_asset().rowsBetween(-(n - 1), 0)
-    return F.when(F.count(column).over(frame) == n, F.avg(column).over(frame))
-
-
 def full_stddev(column: str, n: int) -> Column:
     """Sample deviation of the last ``n`` rows; null unless all of them hold a value."""
     frame = by_asset().rowsBetween(-(n - 1), 0)
@@ -101,13 +95,20 @@ def expected_alpha(dense: DataFrame) -> DataFrame:
 
 
 def with_alpha(dense: DataFrame) -> DataFrame:
-    """Add ``ret`` (missing as 0) and ``alpha``, so that a backtest can go on without joining them back."""
+    """Add ``ret`` (missing as 0) and ``alpha``, so that a backtest can go on without joining them back.
+
+    A window's mean is the difference of two running sums: constant work per row however long the window.
+    """
+    past = by_asset().rowsBetween(W.unboundedPreceding, 0)
     raw = dense.withColumn("ret", pct_change(1))
+    summed = raw.withColumns({"_sum": F.sum("ret").over(past), "_known": F.count("ret").over(past)})
     mix = None
     for n, weight in ALPHA_MIX:
-        term = F.lit(weight) * full_mean("ret", n)
-        mix = term if mix is None else mix + term
-    return raw.withColumns({"alpha": F.coalesce(mix, F.lit(0.0)), "ret": F.coalesce("ret", F.lit(0.0))})
+        earlier, known = (F.coalesce(F.lag(c, n).over(by_asset()), F.lit(0)) for c in ("_sum", "_known"))
+        mean = F.when(F.col("_known") - known == n, (F.col("_sum") - earlier) / n)
+        mix = F.lit(weight) * mean if mix is None else mix + F.lit(weight) * mean
+    done = summed.withColumns({"alpha": F.coalesce(mix, F.lit(0.0)), "ret": F.coalesce("ret", F.lit(0.0))})
+    return done.drop("_sum", "_known")
 
 
 def ts_cv_folds(rows: DataFrame, folds: int = 3) -> DataFrame:

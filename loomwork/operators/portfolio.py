@@ -49,7 +49,9 @@ def sector_one_hot(assets: DataFrame, sectors: DataFrame | None = None) -> DataF
 
 
 def with_market(returns: DataFrame) -> DataFrame:
-    """Add the equal-weight market return of each date (one broadcast row per calendar day)."""
+    """Add the equal-weight market return of each date (one broadcast row per calendar day), unless it is there."""
+    if "mkt" in returns.columns:
+        return returns
     market = returns.groupBy("date").agg(F.avg("ret").alias("mkt"))
     return returns.join(F.broadcast(market), "date")
 

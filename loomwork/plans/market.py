@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from loomwork.operators import features as ft
 from loomwork.operators import panel as pn
 from loomwork.plans.registry import register, select_sql
-from loomwork.sources.derived import prices, prices_sql, table
+from loomwork.sources.derived import prices, prices_sql, supplier_prices, table
 
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 BRANDS = [f"Brand#{i}" for i in range(1, 26)]
@@ -353,3 +353,12 @@ def _(spark, folder):
     rows = ft.build_features(dense(spark, folder)).select("date", "asset", (F.col("mom_1m") / 20).alias("prediction"), "target")
     tests = ft.ts_cv_folds(rows).filter("role = 'test'")
     return r2_by_fold(tests)
+
+
+SUPPLIERS = prices_sql("l_suppkey")
+
+
+@register("expected_panel_build", select_sql(f"{SUPPLIERS},\n{dense_sql()},\n{alpha_sql()}", "alphas", "date asset", "alpha"))
+def _(spark, folder):
+    """The alpha panel of all suppliers: as many cells as suppliers × trading days."""
+    return ft.expected_alpha(pn.dense_panel(supplier_prices(spark, folder)))

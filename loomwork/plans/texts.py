@@ -48,8 +48,13 @@ def chunks_sql(size=512, overlap=50, src="docs", out="chunks"):
 CHUNKS = f"{DOC_SQL},\n{chunks_sql()}"
 
 
+def dealt(spark, folder):
+    """The documents over all cores: the test table is a single row group."""
+    return spread(documents(spark, folder))
+
+
 def chunks(spark, folder):
-    return tt.chunk_documents(documents(spark, folder))
+    return tt.chunk_documents(dealt(spark, folder))
 
 
 @register("chunk_documents", select_sql(CHUNKS, "chunks", "doc_id filename file_type content", "", "chunk_count chunk_index"))
@@ -63,7 +68,7 @@ u AS (SELECT doc_id, len(parts) AS chunk_count, unnest(parts) AS part, generate_
 o AS (SELECT doc_id, chunk_count, chunk_index, {strip_sql('part')} AS content FROM u WHERE length({strip_sql('part')}) > 0)""",
           "o", "doc_id content", "", "chunk_count chunk_index"))
 def _(spark, folder):
-    return tt.hard_split_documents(documents(spark, folder).select("doc_id", "content"))
+    return tt.hard_split_documents(dealt(spark, folder).select("doc_id", "content"))
 
 
 SETTINGS = [(256, 25), (512, 50), (768, 75), (1024, 100)]
@@ -72,7 +77,7 @@ SETTINGS = [(256, 25), (512, 50), (768, 75), (1024, 100)]
 @register("chunk_size_sweep", f"WITH {DOC_SQL},\n" + ",\n".join(chunks_sql(s, o, out=f"c{s}") for s, o in SETTINGS) + "\n" + " UNION ALL ".join(
     f'SELECT {s}::BIGINT AS "size", {o}::BIGINT AS "overlap", count(*) AS n_chunks FROM c{s}' for s, o in SETTINGS))
 def _(spark, folder):
-    return tt.chunk_size_sweep(documents(spark, folder), SETTINGS)
+    return tt.chunk_size_sweep(dealt(spark, folder), SETTINGS)
 
 
 @register("chunk_length_stats", select_sql(f"""{CHUNKS},
@@ -159,7 +164,7 @@ ctx AS (SELECT doc_id, filename, content, rank FROM ranked WHERE rank <= 5)"""
 def contexts(spark, folder):
     """Questions and answers, each with the first five chunks of the document of its conversation."""
     pieces = F.slice(F.filter(F.transform(split_text("content"), strip), lambda p: F.length(p) > 0), 1, 5)
-    docs = spread(documents(spark, folder)).select(F.col("doc_id").alias("conv_id"), "filename", pieces.alias("contexts"))
+    docs = dealt(spark, folder).select(F.col("doc_id").alias("conv_id"), "filename", pieces.alias("contexts"))
     joined = question_answers(spark, folder).join(docs, "conv_id", "left")
     return joined.withColumn("contexts", F.coalesce("contexts", F.array().cast("array<string>")))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loomwork.operators import texts as tt
 from loomwork.operators import vectors as vx
 from loomwork.plans.registry import register, select_sql
-from loomwork.plans.texts import CHUNKS
+from loomwork.plans.texts import CHUNKS, chunks
 from loomwork.sources.derived import DOC_SQL, documents, vectors
 
 VEC = """vec AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
@@ -125,7 +125,7 @@ def _(spark, folder):
     """Hashed TF-IDF vectors of the chunks: dimension and length of each (the tests check the values)."""
     from loomwork.functions.vectors import norm
 
-    rows = tt.chunk_documents(documents(spark, folder)).select("doc_id", "chunk_index", "content")
+    rows = chunks(spark, folder).select("doc_id", "chunk_index", "content")
     return vx.hash_embed(rows, "content").select("doc_id", "chunk_index", F.size("embedding").alias("dim"), norm("embedding").alias("length"))
 
 

@@ -58,9 +58,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal rows over all cores when the input has fewer partitions than that (a few large files).
+    """Deal the rows of a file scan over all cores when it has fewer splits than that (a few large row groups).
 
-    For work that costs far more per row than moving the row; well-split input is left as it is.
+    For work that costs far more per row than moving the row; well-split input is left as it is. Meant for plain
+    scans: counting the partitions of a plan with shuffles would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -37,6 +37,18 @@ def prices(spark: SparkSession, folder: str, asset: str = "p_type") -> DataFrame
     )
 
 
+def supplier_prices(spark: SparkSession, folder: str) -> DataFrame:
+    """The same closes per supplier: a panel of many assets."""
+    items = table(spark, folder, "lineitem").select(
+        F.to_date("l_shipdate").alias("date"),
+        F.col("l_suppkey").alias("asset"),
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
+        F.col("l_quantity").cast("bigint").alias("units"),
+    )
+    per_unit = F.sum("cents").cast("double") / F.sum("units").cast("double")
+    return items.groupBy("date", "asset").agg((F.floor(per_unit * 100.0 + 0.5).cast("double") / 10000.0).alias("close"))
+
+
 def prices_sql(asset: str = "p_type", name: str = "px") -> str:
     return f"""{name} AS (
   SELECT CAST(l_shipdate AS DATE) AS date, {asset} AS asset,
