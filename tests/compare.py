@@ -60,13 +60,19 @@ def compare(spark, con, name, query, sql, folder):
 def main():
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
+    parser.add_argument("--plain", action="store_true", help="a session with Spark's defaults")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     import __spark_entry__ as entry
     from loomwork.session import get_session
 
-    spark = get_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
-                                              "spark.ui.enabled": "false"})
+    if args.plain:
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+    else:
+        spark = get_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
+                                                  "spark.ui.enabled": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(args.sf)
     queries, sqls = entry.queries(), entry.oracle_sql()
