@@ -36,10 +36,10 @@ def read_text_docs(spark: SparkSession, folder: str, suffix: str = ".txt") -> Da
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").load(folder)
     )
-    return _as_documents(files, suffix)
+    return as_documents(files, suffix)
 
 
-def _as_documents(files: DataFrame, suffix: str) -> DataFrame:
+def as_documents(files: DataFrame, suffix: str) -> DataFrame:
     """Whole files as documents, U+FFFD in place of bytes that are not UTF-8."""
     text = strip(F.make_valid_utf8(F.col("content").cast("string")))
     return files.select(

@@ -12,7 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from loomwork.operators.texts import chunk_documents
 from loomwork.operators.transactions import HOUR_S, score_decision, serving_features
-from loomwork.sources.files import _as_documents
+from loomwork.sources.files import as_documents
 
 _OUT = "id bigint, user_id bigint, velocity_count_1h bigint, velocity_amount_1h double"
 _STATE = "at array<double>, id array<bigint>, amount array<double>, waiting array<boolean>"
@@ -89,7 +89,7 @@ def stream_documents(spark: SparkSession, folder: str, suffix: str = ".txt") ->
     """New text files below a folder as a stream of documents."""
     schema = "path string, modificationTime timestamp, length bigint, content binary"
     files = spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").load(folder)
-    return _as_documents(files, suffix)
+    return as_documents(files, suffix)
 
 
 def stream_ingest_docs(spark: SparkSession, folder: str, size: int = 512, overlap: int = 50) -> DataFrame:
