@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import contamination, language, lines, mixing, quality
+from loomwork.llm import contamination, jaccard, language, lines, mixing, quality
 from loomwork.llm.common import documents, held_out
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,23 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     table = quality.ratio_table(docs, quality.trusted_ids(spark.read.parquet(f"{folder}/labels.parquet")))
     return quality.judge(docs, table)
+
+
+OP6_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE [array_to_string(w[i + 1 : i + 3], ' ') FOR i IN range(len(w) - 2)] END) AS shingle FROM worded),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sets a JOIN sets b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+linked AS (SELECT x, y FROM common JOIN sizes sx ON x = sx.doc_id JOIN sizes sy ON y = sy.doc_id WHERE 100 * c >= 90 * (sx.n + sy.n - c)),
+sides AS (SELECT x, y FROM linked UNION SELECT y, x FROM linked),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, s.y FROM reach r JOIN sides s ON r.other = s.x)
+SELECT r.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, CAST(min(other) AS BIGINT) AS component_id
+FROM reach r LEFT JOIN sizes USING (doc_id) GROUP BY r.doc_id
+"""
+
+
+@register("op6_ngram_jaccard", OP6_SQL)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_components(documents(spark, folder))
