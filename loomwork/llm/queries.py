@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import contamination, jaccard, language, lines, mixing, quality
+from loomwork.llm import contamination, jaccard, language, lines, mixing, quality, toxicity
 from loomwork.llm.common import documents, held_out
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,11 @@ FROM reach r LEFT JOIN sizes USING (doc_id) GROUP BY r.doc_id
 @register("op6_ngram_jaccard", OP6_SQL)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_components(documents(spark, folder))
+
+
+@register("op4_toxicity")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where(~held_out(F.col("doc_id")))
+    model = toxicity.fit(docs, labels)
+    return toxicity.score(docs.select("doc_id", "text"), model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
