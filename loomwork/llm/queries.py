@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import contamination, jaccard, language, lines, mixing, quality, toxicity
+from loomwork.llm import contamination, jaccard, language, lines, mixing, privacy, quality, tokens, toxicity
 from loomwork.llm.common import documents, held_out
+from loomwork.session import fresh_path
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
@@ -124,3 +125,14 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     labels = spark.read.parquet(f"{folder}/labels.parquet").where(~held_out(F.col("doc_id")))
     model = toxicity.fit(docs, labels)
     return toxicity.score(docs.select("doc_id", "text"), model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@register("op2_token_counts")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.document_tokens(documents(spark, folder), fresh_path(spark, "tokens"))
+
+
+@register("op7_pseudonyms")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    found = privacy.pseudonymise(documents(spark, folder).select("doc_id", "text"), b"example key: give your own")
+    return found.select("doc_id", "text", *[F.col(f"n_{kind}").cast("long").alias(f"n_{kind}") for kind in privacy.KINDS])
