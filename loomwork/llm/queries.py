@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import contamination, jaccard, language, lines, mixing, privacy, quality, tokens, toxicity
+from loomwork.llm import contamination, jaccard, language, lines, mixing, privacy, quality, suffixes, tokens, toxicity
 from loomwork.llm.common import documents, held_out
 from loomwork.session import fresh_path
 
@@ -136,3 +136,26 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     found = privacy.pseudonymise(documents(spark, folder).select("doc_id", "text"), b"example key: give your own")
     return found.select("doc_id", "text", *[F.col(f"n_{kind}").cast("long").alias(f"n_{kind}") for kind in privacy.KINDS])
+
+
+OP10_SQL = r"""
+WITH coded AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT doc_id, h, unnest(range(CAST(length(h) // 2 - 49 AS BIGINT))) AS s FROM coded WHERE length(h) >= 100),
+strings AS (SELECT doc_id, s, substr(h, 2 * s + 1, 100) AS string FROM starts),
+firsts AS (SELECT string, min(doc_id) AS first FROM strings GROUP BY string HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS place FROM strings JOIN firsts USING (string) WHERE doc_id > first),
+edges AS (SELECT doc_id, place, place - coalesce(lag(place) OVER (PARTITION BY doc_id ORDER BY place), -9) AS gap FROM gone),
+removed AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE gap <> 1) AS n_spans FROM edges GROUP BY doc_id),
+bytes AS (SELECT doc_id, h, unnest(range(CAST(length(h) // 2 AS BIGINT))) AS place FROM coded WHERE doc_id IN (SELECT doc_id FROM removed)),
+kept AS (SELECT b.doc_id, string_agg(substr(h, 2 * b.place + 1, 2), '' ORDER BY b.place) AS k
+         FROM bytes b LEFT JOIN gone g ON b.doc_id = g.doc_id AND b.place = g.place WHERE g.place IS NULL GROUP BY b.doc_id)
+SELECT c.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN n_removed IS NULL THEN h ELSE coalesce(k, '') END)) AS kept_sha256
+FROM coded c LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+@register("op10_suffix_dedup", OP10_SQL)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    kept = suffixes.remove_repeats(documents(spark, folder))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
