@@ -47,8 +47,8 @@ MARK = 256
 BUFFER = 1 << 20
 PIECE = 1 << 22
 MARGIN = 2 * LENGTH
-FLUSH = 1_500_000
-PART_ENTRIES = 1_500_000
+FLUSH = 1_000_000
+PART_ENTRIES = 500_000
 OWNER_BYTES = 16 << 20
 FACTORS = [np.uint64(v) for v in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                                   0xA0761D6478BD642F, 0x8EBC6AF09C88C6E3, 0x2127599BF4325C37)]
@@ -158,8 +158,8 @@ def encoded(text: str | None) -> bytes:
 
 
 def naming(ids: list[int], texts: list[bytes]) -> np.ndarray:
-    """Rows of (id, tag): the tag tells rows apart that share an id."""
-    tags = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64).view(np.int64)
+    """Rows of (id, tag): the tag, a short hash of the text, tells rows apart that share an id."""
+    tags = np.array([xxhash.xxh3_64_intdigest(t) & 0xFFFFFF for t in texts], np.int64)
     return np.stack([np.array(ids, np.int64), tags], axis=1) if ids else np.empty((0, 2), np.int64)
 
 
@@ -200,9 +200,10 @@ def refined(samples: DataFrame, owners: int) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         doc, pos, names, more = read_entries(table, gram=np.uint32, around=np.uint64)
+        del table
         ids = names[:, 0][doc]
         order = np.lexsort((ids, more["around"], more["gram"]))
-        gram, around, ids = more["gram"][order], more["around"][order], ids[order]
+        gram, around, ids = more.pop("gram")[order], more.pop("around")[order], ids[order]
         new_bucket = np.concatenate([[True], gram[1:] != gram[:-1]])
         new_kind = new_bucket | np.concatenate([[True], around[1:] != around[:-1]])
         kind, bucket = np.cumsum(new_kind) - 1, np.cumsum(new_bucket) - 1
