@@ -44,11 +44,12 @@ LENGTH = 50
 GRAM = 20
 REACH = LENGTH - GRAM
 MARK = 256
-BUFFER = 1 << 20
-PIECE = 1 << 22
+BUFFER = 1 << 18
+PIECE = 1 << 20
 MARGIN = 2 * LENGTH
-FLUSH = 1_000_000
+FLUSH = 400_000
 PART_ENTRIES = 500_000
+SLICE_ROWS = 2_000
 OWNER_BYTES = 16 << 20
 FACTORS = [np.uint64(v) for v in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                                   0xA0761D6478BD642F, 0x8EBC6AF09C88C6E3, 0x2127599BF4325C37)]
@@ -136,7 +137,7 @@ class Buffer:
 
 
 def buffers(texts: list[bytes]) -> Iterator[Buffer]:
-    """All texts in buffers of about a megabyte; long ones in overlapping pieces."""
+    """All texts in buffers of bounded size; long ones in overlapping pieces."""
     held, size = [], 0
     for number, text in enumerate(texts):
         if len(text) < LENGTH:
@@ -180,22 +181,24 @@ def sampled(docs: DataFrame, parts: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [encoded(t) for t in batch.column(1).to_pylist()]
-            names, found, held = naming(batch.column(0).to_pylist(), texts), [], 0
-            for buffer in buffers(texts):
-                places, doc, pos = buffer.owned(buffer.samples())
-                found.append((buffer.grams[places], identifier(buffer.parts, places - REACH, LENGTH + REACH), doc, pos))
-                held += len(places)
-                if held >= FLUSH:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                rows = batch.slice(start, SLICE_ROWS)
+                texts = [encoded(t) for t in rows.column(1).to_pylist()]
+                names, found, held = naming(rows.column(0).to_pylist(), texts), [], 0
+                for buffer in buffers(texts):
+                    places, doc, pos = buffer.owned(buffer.samples())
+                    found.append((buffer.grams[places], identifier(buffer.parts, places - REACH, LENGTH + REACH), doc, pos))
+                    held += len(places)
+                    if held >= FLUSH:
+                        yield flush(found, names)
+                        found, held = [], 0
+                if found:
                     yield flush(found, names)
-                    found, held = [], 0
-            if found:
-                yield flush(found, names)
 
     return docs.mapInArrow(run, PACKED + ", gram binary, around binary")
 
 
-def refined(samples: DataFrame, owners: int) -> DataFrame:
+def refined(samples: DataFrame, parts: int, owners: int) -> DataFrame:
     """(part, docs, who, pos, settled): members settled by their surroundings, and those whose strings must be looked at."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -221,7 +224,7 @@ def refined(samples: DataFrame, owners: int) -> DataFrame:
             out.append(pa.RecordBatch.from_arrays([*batch.columns, pa.array([flag] * batch.num_rows, pa.bool_())], names=[*batch.schema.names, "settled"]))
         return pa.Table.from_batches(out)
 
-    return samples.groupBy("part").applyInArrow(run, PACKED + ", settled boolean")
+    return samples.repartition(parts, "part").groupBy("part").applyInArrow(run, PACKED + ", settled boolean")
 
 
 def packed_texts(docs: DataFrame, owners: int) -> DataFrame:
@@ -295,7 +298,7 @@ def open_strings(texts: DataFrame, members: DataFrame, parts: int) -> DataFrame:
     return texts.groupBy("part").cogroup(members.groupBy("part")).applyInArrow(run, PACKED + ", string binary")
 
 
-def repeated_strings(strings: DataFrame, owners: int) -> DataFrame:
+def repeated_strings(strings: DataFrame, parts: int, owners: int) -> DataFrame:
     """Packed strings that a smaller document has."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -307,7 +310,7 @@ def repeated_strings(strings: DataFrame, owners: int) -> DataFrame:
         at = order[ids > ids[np.flatnonzero(new)][np.cumsum(new) - 1]]
         return pa.Table.from_batches([entries(owner_of(names, owners)[doc[at]], doc[at], pos[at], names)])
 
-    return strings.groupBy("part").applyInArrow(run, PACKED)
+    return strings.repartition(parts, "part").groupBy("part").applyInArrow(run, PACKED)
 
 
 def kept_bytes(texts: DataFrame, spans: DataFrame) -> DataFrame:
@@ -348,10 +351,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     owners = max(16, math.ceil(total / OWNER_BYTES))
     parts = max(16, math.ceil(total / 15 / PART_ENTRIES))
     path = fresh_path(spark, "suffixes")
-    refined(sampled(rows.where(F.col("doc_id").isNotNull()), parts), owners).write.parquet(f"{path}/members")
+    refined(sampled(rows.where(F.col("doc_id").isNotNull()), parts), parts, owners).write.parquet(f"{path}/members")
     members = spark.read.parquet(f"{path}/members")
     open_ = members.where(~F.col("settled")).drop("settled")
     strings = open_strings(packed_texts(rows.where(F.col("doc_id").isNotNull()), owners), open_, parts)
-    repeated_strings(strings, owners).withColumn("settled", F.lit(False)).write.parquet(f"{path}/strings")
+    repeated_strings(strings, parts, owners).withColumn("settled", F.lit(False)).write.parquet(f"{path}/strings")
     spans = members.where("settled").unionByName(spark.read.parquet(f"{path}/strings"))
     return kept_bytes(packed_texts(rows, owners), spans)
