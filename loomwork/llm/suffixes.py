@@ -177,6 +177,7 @@ def sampled(docs: DataFrame, parts: int) -> DataFrame:
 
     def flush(found, names):
         grams, around, doc, pos = (np.concatenate(x) for x in zip(*found))
+        grams = mix(grams * FACTORS[6])  # the least of hashes are small; spread them again
         return entries(part_of(grams, parts), doc, pos, names, gram=grams.astype(np.uint32), around=around)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
