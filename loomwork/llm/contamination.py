@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from loomwork.session import sized
 
 BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 10
+FILTER_BITS = 1 << 16
 
 
 def raw_words(text: Column) -> Column:
@@ -47,6 +47,18 @@ def hashed_words(text: Column) -> Column:
     return F.transform(raw_words(text), lambda w: F.xxhash64(F.lower(w)))
 
 
+def flags(places: list[int]) -> Column:
+    """A constant array of ``FILTER_BITS`` booleans, true at ``places``; folded before the scan starts."""
+    marks = ["0"] * FILTER_BITS
+    for place in places:
+        marks[place] = "1"
+    return F.split(F.lit(",".join(marks)), ",").cast("array<boolean>")
+
+
+def count_words(text: Column) -> Column:
+    return F.size(raw_words(text)).cast("long")
+
+
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """(item, length, hash, phrase): the distinct windows of every item."""
     words = benchmark.select(F.col("item_id").cast("string").alias("item"), raw_words(F.col("text")).alias("words"))
@@ -73,7 +85,16 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
     hashed = words.select("doc_id", "text_hash", "words", F.transform("words", lambda w: F.xxhash64(F.lower(w))).alias("hashes"))
     found = None
     for length in lengths:
-        scanned = hashed.select("doc_id", "text_hash", "words", F.posexplode(window_hashes(F.col("hashes"), length)).alias("start", "hash"))
+        # windows whose first two words begin no item window are passed over before they are hashed and unrolled
+        lead = min(2, length)
+        begins = F.xxhash64(*[F.get("hash", F.lit(k)) for k in range(lead)])
+        heads = items.where(F.col("length") == length).select(F.pmod(begins, F.lit(FILTER_BITS)).alias("place")).distinct().collect()
+        marked = flags([r["place"] for r in heads])
+        starts = F.filter(
+            F.transform(window_hashes(F.col("hashes"), lead), lambda h, i: F.when(F.get(marked, F.pmod(h, F.lit(FILTER_BITS)).cast("int")), i)),
+            lambda i: i.isNotNull() & (i <= F.size("hashes") - length))
+        windows = F.transform(starts, lambda i: F.struct(i.alias("start"), F.xxhash64(*[F.get("hashes", i + k) for k in range(length)]).alias("hash")))
+        scanned = hashed.select("doc_id", "text_hash", "words", F.inline(windows).alias("start", "hash"))
         part = scanned.join(targets.where(F.col("item_length") == length), F.col("hash") == F.col("item_hash")).where(
             phrase(F.col("words"), F.col("start"), length) == F.col("phrase")
         ).select("doc_id", "text_hash", "item", "start", F.lit(length).alias("length"))
@@ -98,7 +119,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         F.array_sort(F.collect_set("item")).alias("items"))
     found = per_text.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "spans", "items",
                             covered(F.col("spans")).cast("long").alias("n_hit"))
-    counted = docs.select("doc_id", F.xxhash64("text").alias("_text"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
+    counted = docs.select("doc_id", F.xxhash64("text").alias("_text"), count_words(F.col("text")).alias("n_words"))
     joined = counted.join(found, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_hash")), "left")
     items = F.coalesce("items", F.array().cast("array<string>"))
     return joined.select(
@@ -113,8 +134,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
         F.array_sort(F.collect_set(F.struct("start", "length"))).alias("spans"))
     bad = per_text.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), covered(F.col("spans")).alias("_hit"))
     joined = docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_hash")), "left")
-    share = F.coalesce("_hit", F.lit(0)) / F.greatest(F.regexp_count("text", F.lit(WORD)), F.lit(1))
-    return joined.where(F.coalesce(share, F.lit(0.0)) <= min_share).select(*[F.col(f"`{c}`") for c in docs.columns])
+    share = F.when(F.col("_hit").isNull(), F.lit(0.0)).otherwise(F.col("_hit") / F.greatest(count_words(F.col("text")), F.lit(1)))
+    return joined.where(share <= min_share).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
