@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 
 from loomwork.session import cut_lineage, sized
 
-WORD = r"[^\x20\x09-\x0D]+"
+WORD, GAP = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MAX_REPEATS = 2
@@ -36,7 +36,7 @@ STEP, JUMP = 1_000_003, 7_919  # primes; the step is replaced by one block for t
 
 
 def count_words(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")).cast("long")
 
 
 def uniform(*parts: Column) -> Column:
