@@ -15,7 +15,7 @@ go back (``Permuter.inverse``). Separators, lengths, letter case and check digit
 | ipv4 | four numbers up to 255 | all 32 bits |
 | date | a day of the calendar from 1900 to 2099, as y-m-d, d.m.y or m/d/y | the day, among all of these days |
 | email | local part and host with a dot | letters and digits of the local part |
-| secret | 32 to 64 hex digits behind a quoted ``token``, ``key`` or ``secret`` | the hex digits |
+| secret | 32 to 64 hex digits behind a quoted ``token``, ``key`` or ``secret`` | the hex digits; in mixed case digits, small and capital letters each among themselves |
 
 Defined cases: null stays null, texts without a match come back unchanged; matches never overlap, the first kind in the
 pattern's order wins; two formats of the same date get the same new day, each in its own format.
@@ -82,26 +82,23 @@ class Permuter:
         return self._walk(value, size, label, True)
 
 
-def alphabet_of(char: str, hexadecimal: bool) -> str | None:
-    if hexadecimal:
-        return HEX if char.lower() in HEX else None
-    return next((a for a in (DIGIT, LETTER, CAPITAL) if char in a), None)
+TEXT, MIXED_HEX, SMALL_HEX = (DIGIT, LETTER, CAPITAL), (DIGIT, HEX[10:], HEX[10:].upper()), (HEX,)
 
 
-def permute_characters(text: str, permuter: Permuter, label: str, back: bool = False, hexadecimal: bool = False) -> str:
-    """Permute the digits and letters of ``text`` within their classes; everything else stays in place."""
-    alphabets = [alphabet_of(c, hexadecimal) for c in text]
+def permute_characters(text: str, permuter: Permuter, label: str, back: bool = False, classes: tuple[str, ...] = TEXT) -> str:
+    """Permute the characters of ``text`` within their classes; everything else stays in place."""
+    alphabets = [next((a for a in classes if c in a), None) for c in text]
     value, size = 0, 1
     for char, letters in zip(text, alphabets):
         if letters:
-            value, size = value * len(letters) + letters.index(char.lower() if hexadecimal else char), size * len(letters)
+            value, size = value * len(letters) + letters.index(char), size * len(letters)
     shape = "".join("x" if a is None else str(len(a)) + "." for a in alphabets if a)
     value = permuter._walk(value, size, f"{label}|{shape}", back)
     out = []
     for char, letters in zip(reversed(text), reversed(alphabets)):
         if letters:
             value, place = divmod(value, len(letters))
-            char = letters[place].upper() if hexadecimal and char.isupper() else letters[place]
+            char = letters[place]
         out.append(char)
     return "".join(reversed(out))
 
@@ -184,7 +181,11 @@ def pseudonym(kind: str, value: str, permuter: Permuter, back: bool = False) ->
     if kind == "email":
         local, host = value.split("@")
         return kind, permute_characters(local, permuter, "email" + host.lower(), back) + "@" + host
-    return kind, permute_characters(value, permuter, "secret", back, hexadecimal=True)
+    if value == value.lower():
+        return kind, permute_characters(value, permuter, "secret", back, SMALL_HEX)
+    if value == value.upper():
+        return kind, permute_characters(value.lower(), permuter, "secret", back, SMALL_HEX).upper()
+    return kind, permute_characters(value, permuter, "secret", back, MIXED_HEX)
 
 
 def replace_all(text: str, permuter: Permuter, back: bool = False) -> tuple[str, dict[str, int]]:

@@ -215,7 +215,7 @@ def test_line_runs_are_compacted_and_fresh_lines_are_fresh(spark):
         runs.add(batch)
     assert sorted(level for level, paths in runs.levels.items() if paths) == [0, 2]
     merged = {bytes(r.key): (r.documents, r.owner) for r in runs.merged().collect()}
-    assert sum(d for d, _ in merged.values()) == 15 and merged[b"key3"][1] == 41
+    assert sum(d for d, _ in merged.values()) == 15 and merged[b"key3"] == (3, 30)
 
 
 def brute_components(texts, width, percent):
@@ -268,7 +268,7 @@ def test_jaccard_of_odd_rows(spark, odd, none):
     assert len(rows) == 12 and by[4].n_shingles == 0 and by[4].component_id == 4 and by[9].component_id == 8 and by[11].component_id == 10
     assert by[None].component_id is None
     kept = jaccard.keep_one(odd)
-    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == {1, 2, 3, 4, 5, None, 7, 8, 10}
+    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == {1, 3, 4, 5, None, 7, 8, 10}
     assert jaccard.similar_components(none).count() == 0 and jaccard.keep_one(none).count() == 0
 
 
@@ -304,7 +304,7 @@ def test_contamination_of_odd_rows(spark, odd, none):
     by = {r.doc_id: r for r in rows}
     assert len(rows) == 12 and by[4].n_words == 0 and not by[5].contaminated
     assert (by[10].n_words, by[10].n_hit, by[10]["items"]) == (3, 3, ["1", "2", "5"])
-    assert by[8].n_hit == 12 * math.ceil((30_000 - 96) / 97) + max(0, 30_000 % 97 - 0 if False else 0) or by[8].n_hit > 3000
+    assert by[8].n_hit == 12 * (30_000 // 97) + 12 and by[8].n_items == 1
     assert {r.doc_id for r in contamination.drop_contaminated(odd, items).collect()} == {1, 2, 3, 4, 5, None, 7}
     cut = {r.doc_id: r.text for r in contamination.remove_spans(odd, benchmark_table(spark, [(1, "kurzer satz")])).collect()}
     assert cut[10] == "ein" and cut[1] == f"{LINE}\nfirst" and cut[4] is None
