@@ -22,7 +22,7 @@ from loomwork.session import sized
 # The grid the search draws from.
 SEARCH_GRID = {
     "maxIter": [100, 200, 300, 500], "maxDepth": [3, 4, 5, 6, 8], "stepSize": [0.01, 0.05, 0.1, 0.2],
-    "subsamplingRate": [0.6, 0.8, 1.0], "minInstancesPerNode": [1, 3, 5], "minInfoGain": [0.0, 0.1, 0.3],
+    "subsamplingRate": [0.6, 0.8, 1.0], "featureSubsetStrategy": ["0.6", "0.8", "1.0"], "minInstancesPerNode": [1, 3, 5], "minInfoGain": [0.0, 0.1, 0.3],
 }
 
 
@@ -88,11 +88,11 @@ def with_class_weight(df: DataFrame, label: str = "class") -> DataFrame:
 
 
 def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(df)
+    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error").transform(df)
 
 
 def _fit(estimator, train: DataFrame, features: Sequence[str]) -> PipelineModel:
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
     rows = assembler.transform(train).persist()
     model = estimator.fit(rows)
     rows.unpersist()
@@ -105,10 +105,10 @@ def fit_logistic(train: DataFrame, features: Sequence[str], label: str = "class"
     return _fit(LogisticRegression(labelCol=label, weightCol="weight", maxIter=max_iter), weighted, features)
 
 
-def fit_forest(train: DataFrame, features: Sequence[str], label: str = "class", trees: int = 100, seed: int = 42) -> PipelineModel:
-    """Balanced random forest."""
+def fit_forest(train: DataFrame, features: Sequence[str], label: str = "class", trees: int = 100, seed: int = 42, depth: int = 30) -> PipelineModel:
+    """Balanced random forest; trees grow until they are pure or ``depth`` (Spark's largest by default)."""
     weighted = with_class_weight(train, label)
-    return _fit(RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=trees, maxDepth=10, seed=seed), weighted, features)
+    return _fit(RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed), weighted, features)
 
 
 def fit_boosted(train: DataFrame, features: Sequence[str], label: str = "class", seed: int = 42, **params) -> PipelineModel:
@@ -140,7 +140,7 @@ def random_search_cv(train: DataFrame, features: Sequence[str], label: str = "cl
     rows = [(i, *[float(one[n]) for n in grid], float(score)) for i, (one, score) in enumerate(zip(drawn, fitted.avgMetrics))]
     schema = "draw int, " + ", ".join(f"{n} double" for n in grid) + ", pr_auc double"
     table = train.sparkSession.createDataFrame(rows, schema)
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
     return table, PipelineModel([assembler, fitted.bestModel])
 
 
@@ -152,7 +152,7 @@ def fit_return_regressor(folded: DataFrame, features: Sequence[str], target: str
     best, scores = None, None
     for fold in folds:
         part = folded.filter(F.col("fold") == fold)
-        model = _fit(GBTRegressor(labelCol=target, maxIter=trees, maxDepth=depth, stepSize=0.05, subsamplingRate=0.8, seed=seed),
+        model = _fit(GBTRegressor(labelCol=target, maxIter=trees, maxDepth=depth, stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed),
                      part.filter("role = 'train'"), features)
         fit = r2_by_fold(model.transform(part.filter("role = 'test'")), target=target).first()
         if best is None or (fit["r2"] is not None and fit["r2"] > best[0]):

@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 from loomwork.session import cut_lineage
 
-EXACT = "decimal(38,6)"  # running sums of money: exact in any order of addition
-
 
 def running_totals(df: DataFrame, order: Sequence[str], totals: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
     """Add inclusive running sums over ``order`` (a unique order), within ``by``.
@@ -51,7 +49,7 @@ def exact_quantiles(df: DataFrame, column: str, points: Sequence[float], by: Seq
         (F.sum(weight) if weight else F.count("*")).alias("_n")
     )
     ranked = running_totals(counted, ["_x"], {"_upto": F.col("_n")}, by)
-    sizes = ranked.groupBy(*by).agg(F.max("_upto").alias("_total"))
+    sizes = counted.groupBy(*by).agg(F.sum("_n").alias("_total"))
     wanted = sizes.select(*by, "_total", F.explode(F.array(*[F.lit(float(q)) for q in points])).alias("q")).select(
         *by, "q", (F.col("q") * (F.col("_total") - 1)).alias("_pos")
     )
@@ -73,25 +71,31 @@ def exact_quantiles(df: DataFrame, column: str, points: Sequence[float], by: Seq
     )
 
 
-def trailing_sums(events: DataFrame, time: str, ident: str, value: str, span: float, by: Sequence[str] = ()) -> DataFrame:
+def trailing_sums(events: DataFrame, time: str, ident: str, value: str, span: float, by: Sequence[str] = (),
+                  digits: int = 6) -> DataFrame:
     """Count and sum of earlier rows at most ``span`` back: rows in [t − span, self) in (time, id) order.
 
     Each row also sends a probe at t − span into the same ordered stream. The rows between probe and row are the
-    difference of two running totals, so a busy hour or a busy key costs no more than any other rows.
+    difference of two running totals, so a busy hour or a busy key costs no more than any other rows. Every row has a
+    number of its own, so rows with equal ids stay apart (their order among each other is arbitrary); only numbers and
+    values travel, and the record comes back by one join. Values are summed exactly, to ``digits`` decimals (at most 10),
+    as whole numbers of the last digit, since sums of wide decimals would give up digits behind the point.
     """
-    keep = [c for c in events.columns]
-    row = F.struct(*keep)
-    exact = F.col(value).cast(EXACT)
-    rows = events.select(*by, F.col(time).alias("_t"), F.lit(1).alias("_kind"), F.col(ident).alias("_id"),
-                         F.lit(1).alias("_n"), exact.alias("_v"), row.alias("_row"))
-    probes = events.select(*by, (F.col(time) - span).alias("_t"), F.lit(0).alias("_kind"), F.col(ident).alias("_id"),
-                           F.lit(0).alias("_n"), F.lit(0).cast(EXACT).alias("_v"), F.lit(None).cast(events.select(row.alias("r")).schema["r"].dataType).alias("_row"))
-    stream = rows.unionByName(probes)
-    summed = running_totals(stream, ["_t", "_kind", "_id"], {"_count": F.col("_n"), "_sum": F.coalesce("_v", F.lit(0).cast(EXACT))}, by)
+    if not 0 <= digits <= 10:
+        raise ValueError("digits must be between 0 and 10")
+    exact, unit = "decimal(38,0)", F.lit(10**digits).cast(f"decimal({digits + 1},0)")
+    numbered = cut_lineage(events.withColumn("_key", F.monotonically_increasing_id()))
+    zero = F.lit(0).cast(exact)
+
+    def entry(kind: int, at: Column, n: int, amount: Column) -> Column:
+        return F.struct(at.alias("_t"), F.lit(kind).alias("_kind"), F.lit(n).alias("_n"), amount.alias("_v"))
+
+    both = F.array(entry(1, F.col(time), 1, F.coalesce((F.col(value).cast(f"decimal(26,{digits})") * unit).cast(exact), zero)), entry(0, F.col(time) - span, 0, zero))
+    stream = numbered.select(*by, "_key", F.col(ident).alias("_id"), F.inline(both))
+    summed = running_totals(stream, ["_t", "_kind", "_id", "_key"], {"_count": F.col("_n"), "_sum": F.col("_v")}, by)
     sign = F.when(F.col("_kind") == 1, F.lit(1)).otherwise(F.lit(-1))
-    merged = summed.groupBy("_id").agg(
-        F.first("_row", ignorenulls=True).alias("_row"),
-        F.sum(sign * (F.col("_count") - F.col("_n"))).alias("_count"),
-        F.sum(sign * (F.col("_sum") - F.coalesce("_v", F.lit(0).cast(EXACT)))).cast("double").alias("_sum"),
+    merged = summed.groupBy("_key").agg(
+        F.sum(sign * (F.col("_count") - F.col("_n"))).alias("trailing_count"),
+        (F.sum(sign * (F.col("_sum") - F.col("_v"))).cast("double") / float(10**digits)).alias("trailing_sum"),
     )
-    return merged.select(*[F.col(f"_row.`{c}`").alias(c) for c in keep], F.col("_count").alias("trailing_count"), F.col("_sum").alias("trailing_sum"))
+    return numbered.join(merged, "_key").drop("_key")

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_READ_START = re.compile(r"^\s*(select|with|values|table|from|show|describe|desc|explain)\b", re.IGNORECASE)
+_LOGICAL = "org.apache.spark.sql.catalyst.plans.logical."
+_LISTING = ("Show", "Describe", "Explain")
 
 
 def register_star(tables: dict[str, DataFrame]) -> list[str]:
@@ -72,12 +71,50 @@ def never_ordered(products: DataFrame, order_items: DataFrame) -> DataFrame:
     return products.join(sold, "id", "left_anti")
 
 
+def _seq(values) -> list:
+    return [values.apply(i) for i in range(values.size())]
+
+
+def _kinds(java_class) -> set[str]:
+    """Names of a JVM class, its parents and all their interfaces."""
+    found = set()
+    while java_class is not None:
+        found.add(java_class.getName())
+        for trait in java_class.getInterfaces():
+            found |= _kinds(trait)
+        java_class = java_class.getSuperclass()
+    return found
+
+
+def only_reads(spark: SparkSession, statement: str) -> bool:
+    """Does the parsed statement, with its subqueries and common tables, hold no command, insert or script?
+
+    The text is parsed and not run. Listing commands (SHOW, DESCRIBE, EXPLAIN) may stand at the top; nothing below one
+    of them is run either.
+    """
+    refused = {_LOGICAL + name for name in ("Command", "ParsedStatement", "InsertIntoDir", "ScriptTransformation")}
+    top = spark._jsparkSession.sessionState().sqlParser().parsePlan(statement)
+    if top.getClass().getSimpleName().startswith(_LISTING):
+        return True
+    waiting = [top]
+    while waiting:
+        node = waiting.pop()
+        kind = node.getClass()
+        if "catalyst.plans.logical" in kind.getName() or "execution" in kind.getName():
+            if _kinds(kind) & refused:
+                return False
+        waiting += _seq(node.children()) + _seq(node.innerChildren())
+        if hasattr(node, "subqueries"):
+            waiting += _seq(node.subqueries())
+    return True
+
+
 def bounded_sql(spark: SparkSession, text: str, limit: int = 50) -> tuple[DataFrame | None, str | None]:
     """Run one read statement over the registered views: ``(first rows, None)`` or ``(None, error text)``."""
     statement = text.strip().rstrip(";")
-    if not _READ_START.match(statement):
-        return None, "only read statements are run"
     try:
+        if not only_reads(spark, statement):
+            return None, "only read statements are run"
         return spark.sql(statement).limit(limit), None
     except (AnalysisException, ParseException) as error:
         return None, str(error)

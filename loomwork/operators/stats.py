@@ -50,7 +50,8 @@ def block_bootstrap_sharpe(series: DataFrame, replicas: int = 10000, block: int
     """Percentile band of the Sharpe ratio over series rebuilt from consecutive blocks.
 
     Running sums of the series (one pair per calendar day) travel as one array; each drawn block then costs two
-    look-ups, and a replica needs the sums of its blocks only. Block starts come from an arithmetic hash.
+    look-ups, and a replica needs the sums of its blocks only. Block starts come from the digits of an md5 of
+    replica and slot, so replicas are independent draws and repeat anywhere.
     """
     past = W.orderBy("date").rowsBetween(W.unboundedPreceding, 0)
     cum = series.select(
@@ -65,7 +66,7 @@ def block_bootstrap_sharpe(series: DataFrame, replicas: int = 10000, block: int
         "replica", "c", n.alias("n"), F.explode(F.sequence(F.lit(0), F.ceil(n / block).cast("int") - 1)).alias("slot")
     )
     drawn = slots.withColumn(
-        "start", ((F.col("replica") * 7919 + F.col("slot") * 104729 + F.col("replica") * F.col("slot") * 31) % (F.col("n") - block + 1)).cast("int")
+        "start", (F.conv(F.substring(F.md5(F.concat_ws(",", F.col("replica"), F.col("slot")).cast("binary")), 1, 12), 16, 10).cast("bigint") % (F.col("n") - block + 1)).cast("int")
     ).withColumn("stop", F.col("start") + F.least(F.lit(block), F.col("n") - F.col("slot") * block))
     ends = drawn.select("replica", "n", F.get("c", F.col("start")).alias("a"), F.get("c", F.col("stop")).alias("b"))
     each = ends.groupBy("replica", "n").agg(

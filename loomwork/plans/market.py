@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from loomwork.operators import features as ft
 from loomwork.operators import panel as pn
 from loomwork.plans.registry import register, select_sql
+from loomwork.session import cut_lineage
 from loomwork.sources.derived import prices, prices_sql, supplier_prices, table
 
-TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
-BRANDS = [f"Brand#{i}" for i in range(1, 26)]
 
 PX = prices_sql()
 PX25 = prices_sql("p_brand")
@@ -62,7 +61,8 @@ FEATURE_COLS = "mom_1m mom_3m mom_6m vol_20 rev_5"
 
 
 def dense(spark, folder, asset="p_type"):
-    return pn.dense_panel(prices(spark, folder, asset))
+    """The prices are stored once, small beside the lines: calendar, assets and closes are all read from there."""
+    return pn.dense_panel(cut_lineage(prices(spark, folder, asset)))
 
 
 def alphas(spark, folder):
@@ -79,18 +79,21 @@ def _(spark, folder):
     return pn.close_panel(prices(spark, folder), ["ECONOMY", "PROMO"], "1996-01-01", "1998-12-31")
 
 
-def _wide_cols(names):
-    return ", ".join(f"round(max(close) FILTER (asset = '{n}'), 6) + 0.0 AS \"{n}\"" for n in names)
+def brand_prices(spark, folder):
+    """Prices by brand, stored once, and the names found in them."""
+    stored = cut_lineage(prices(spark, folder, "p_brand"))
+    return stored, [r["asset"] for r in stored.select("asset").distinct().orderBy("asset").collect()]
 
 
-@register("long_to_wide", f"WITH {PX25} SELECT date, {_wide_cols(BRANDS)} FROM px GROUP BY date")
+@register("long_to_wide", f"""SELECT * FROM (PIVOT (WITH {PX25} SELECT date, asset, round(close, 6) + 0.0 AS close FROM px)
+ON asset USING max(close) GROUP BY date)""")
 def _(spark, folder):
-    return pn.long_to_wide(prices(spark, folder, "p_brand"), BRANDS)
+    return pn.long_to_wide(*brand_prices(spark, folder))
 
 
 @register("wide_to_long", select_sql(PX25, "px", "date asset", "close"))
 def _(spark, folder):
-    return pn.wide_to_long(pn.long_to_wide(prices(spark, folder, "p_brand"), BRANDS))
+    return pn.wide_to_long(pn.long_to_wide(*brand_prices(spark, folder)))
 
 
 @register("available_tickers", f"WITH {PX25} SELECT DISTINCT asset FROM px WHERE date >= DATE '2000-01-01' AND date <= DATE '2000-03-31'")
@@ -361,4 +364,4 @@ SUPPLIERS = prices_sql("l_suppkey")
 @register("expected_panel_build", select_sql(f"{SUPPLIERS},\n{dense_sql()},\n{alpha_sql()}", "alphas", "date asset", "alpha"))
 def _(spark, folder):
     """The alpha panel of all suppliers: as many cells as suppliers × trading days."""
-    return ft.expected_alpha(pn.dense_panel(supplier_prices(spark, folder)))
+    return ft.expected_alpha(pn.dense_panel(cut_lineage(supplier_prices(spark, folder))))

@@ -180,7 +180,7 @@ def _(spark, folder):
 
 @register("fit_boosted")
 def _(spark, folder):
-    return _scored(spark, folder, lambda rows, names: ml.fit_boosted(rows, names, maxIter=20, maxDepth=4), "boosted")
+    return _scored(spark, folder, ml.fit_boosted, "boosted")
 
 
 @register("random_search_cv")

@@ -74,6 +74,28 @@ def test_only_read_statements_run(spark):
     assert shop.bounded_sql(spark, "SELECT FROM WHERE")[1]
 
 
+@pytest.mark.parametrize("text", [
+    "WITH x AS (SELECT 1 AS a) INSERT OVERWRITE DIRECTORY '{out}' USING parquet SELECT * FROM x",
+    "FROM range(3) INSERT OVERWRITE DIRECTORY '{out}' USING parquet SELECT *",
+    "WITH x AS (SELECT 1 AS a), y AS (WITH z AS (SELECT * FROM x) SELECT * FROM z) FROM y INSERT OVERWRITE DIRECTORY '{out}' USING parquet SELECT *",
+    "INSERT INTO numbers VALUES (1)", "CREATE TABLE made AS SELECT 1", "CACHE TABLE numbers", "SET spark.sql.ansi.enabled=false",
+    "SELECT TRANSFORM(id) USING 'cat' FROM numbers", "SELECT 1 WHERE EXISTS (SELECT TRANSFORM(id) USING 'cat' FROM numbers)",
+])
+def test_statements_that_write_are_refused(spark, tmp_path, text):
+    spark.range(100).createOrReplaceTempView("numbers")
+    out = tmp_path / "out"
+    rows, error = shop.bounded_sql(spark, text.format(out=out))
+    assert rows is None and error and not out.exists()
+
+
+def test_reads_of_every_form_are_run(spark):
+    spark.range(100).createOrReplaceTempView("numbers")
+    for text in ("WITH x AS (SELECT id FROM numbers) SELECT * FROM x WHERE id IN (SELECT max(id) FROM x)", "VALUES (1), (2)",
+                 "(SELECT 1) UNION ALL (SELECT 2)", "SHOW TABLES", "DESCRIBE numbers", "EXPLAIN SELECT 1", "FROM numbers SELECT id"):
+        rows, error = shop.bounded_sql(spark, text)
+        assert error is None and rows.count() >= 1
+
+
 def test_hours_below_zero_and_single_rows(spark):
     df = spark.createDataFrame([(1, -1.0, -5.0), (2, 90000.0, 3.0)], "id int, time_s double, amount double")
     rows = {r["id"]: r for r in df.transform(tx.amount_log).transform(tx.time_features).transform(tx.amount_z_by_hour).collect()}

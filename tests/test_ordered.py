@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from loomwork.operators.curves import score_counts
@@ -84,3 +85,20 @@ def test_curve_counts_of_one_dominant_model(many_slices):
     for r in got.sample(40, random_state=0).itertuples():
         part = rows[(rows["model"] == r.model) & (rows["score"] >= r.threshold)]
         assert (r.tp, r.fp) == (part["label"].sum(), (1 - part["label"]).sum())
+
+
+@pytest.mark.parametrize("by", [[], ["user_id"]])
+def test_rows_with_equal_ids_stay_apart(spark, by):
+    rows = [(1, 0.0, 1.00000005, 7), (1, 0.0, 2.0, 8), (1, 10.0, 4.0, 7), (2, 10.0, 8.0, 7), (2, 10.0, 8.0, 7)]
+    df = spark.createDataFrame(rows, "id long, time_s double, amount double, user_id long")
+    got = trailing_sums(df, "time_s", "id", "amount", 3600.0, by=by, digits=9).collect()
+    assert sorted((r.id, r.time_s, r.amount, r.user_id) for r in got) == sorted(rows)
+    last = sorted((r.trailing_count, r.trailing_sum) for r in got if r.id == 2)
+    assert last == ([(2, 5.00000005), (3, 13.00000005)] if by else [(3, 7.00000005), (4, 15.00000005)])
+
+
+def test_bootstrap_replicas_differ(spark):
+    starts = spark.range(10000).selectExpr("id AS replica", "explode(sequence(0, 4)) AS slot").selectExpr(
+        "replica", "conv(substring(md5(concat_ws(',', replica, slot)), 1, 12), 16, 10) % 2480 AS start").groupBy("replica").agg(
+        F.collect_list("start").alias("starts"))
+    assert starts.select("starts").distinct().count() == 10000
