@@ -249,3 +249,16 @@ def _(spark, folder):
     rows = contexts(spark, folder).withColumn("query_id", F.col("conv_id") * 1000 + F.col("turn"))
     found = rows.select("query_id", "filename", F.posexplode("contexts").alias("pos", "content")).withColumn("rank", F.col("pos") + 1)
     return tt.assemble_prompt(found, rows.select("query_id", "question"))
+
+
+@register("read_text_docs", f"""
+SELECT doc_id, md5({strip_sql("text")}) AS content_md5, 'txt' AS file_type, 1::BIGINT AS page, 1::BIGINT AS total_pages FROM documents""")
+def _(spark, folder):
+    """The documents written out as one text file each, in the shared folder, and read back whole."""
+    from loomwork.session import fresh_path
+    from loomwork.sources.files import read_text_docs
+
+    path = fresh_path(spark, "texts")
+    table(spark, folder, "documents").select("doc_id", "text").repartition("doc_id").write.partitionBy("doc_id").text(path)
+    ident = F.regexp_extract("source", r"doc_id=(\d+)", 1).cast("bigint").alias("doc_id")
+    return read_text_docs(spark, path).select(ident, F.md5(F.col("content").cast("binary")).alias("content_md5"), "file_type", "page", "total_pages")
