@@ -16,7 +16,3 @@ def l2_normalise(vector: str | Column) -> Column:
     v = F.col(vector) if isinstance(vector, str) else vector
     length = norm(v)
     return F.when(length > 0, F.transform(v, lambda x: x / length)).otherwise(v)
-
-
-def dot(a: str | Column, b: str | Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)

@@ -90,6 +90,11 @@ def append_documents(existing: DataFrame, added: DataFrame) -> DataFrame:
 
 # --- prompts and answers -----------------------------------------------------------
 
+# The wording of the prompt.
+PROMPT_HEAD = "Answer based on context:\n\n"
+PROMPT_QUESTION = "\n\nQuestion: "
+PROMPT_END = "\n\nAnswer:"
+
 def assemble_prompt(found: DataFrame, questions: DataFrame, key: str = "query_id") -> DataFrame:
     """Prompt per question from its ranked chunks ``(key, rank, filename, content)``; at most k chunks each."""
     block = F.concat(
@@ -101,7 +106,7 @@ def assemble_prompt(found: DataFrame, questions: DataFrame, key: str = "query_id
     return questions.join(blocks, key, "left").select(
         key,
         F.concat(
-            F.lit("Answer based on context:\n\n"), F.coalesce("context", F.lit("")), F.lit("\n\nQuestion: "), F.col("question"), F.lit("\n\nAnswer:")
+            F.lit(PROMPT_HEAD), F.coalesce("context", F.lit("")), F.lit(PROMPT_QUESTION), F.col("question"), F.lit(PROMPT_END)
         ).alias("prompt"),
     )
 

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomwork.functions.text import split_text, strip
 from loomwork.operators import gates
 from loomwork.operators import texts as tt
+from loomwork.operators import vectors as vx
 from loomwork.plans.registry import register, select_sql
-from loomwork.session import spread
+from loomwork.session import cut_lineage, spread
 from loomwork.sources.derived import DOC_SQL, QA_SQL, documents, question_answers, table
 
 STOP = tt.STOP_WORDS
 STOP_SQL = ", ".join(f"'{w}'" for w in STOP)
 KEYS = ["conv_id", "turn"]
+CHUNK_IDS = 1 << 20  # a chunk's number is its document's times this, and its index
 
 
 def strip_sql(x):
@@ -71,6 +72,7 @@ def _(spark, folder):
     return tt.hard_split_documents(dealt(spark, folder).select("doc_id", "content"))
 
 
+# Fixed values: (size, overlap) of the sweep.
 SETTINGS = [(256, 25), (512, 50), (768, 75), (1024, 100)]
 
 
@@ -155,17 +157,43 @@ def _(spark, folder):
 
 # --- scores ---------------------------------------------------------------------------
 
+DIM, K = 384, 5
+EMBEDDED = f"""texts AS (SELECT 0 AS side, doc_id * {CHUNK_IDS} + chunk_index AS id, content AS text FROM chunks
+  UNION ALL SELECT 1, conv_id * 1000 + turn, question FROM qa),
+buckets AS (SELECT side, id, ('0x' || substr(md5(w), 1, 8))::BIGINT % {DIM} AS b
+  FROM (SELECT side, id, unnest(string_split_regex(lower(text), '[\\x20\\x09-\\x0D]+')) AS w FROM texts) WHERE w <> ''),
+idf AS (SELECT d.b, ln(((SELECT count(*) FROM chunks) + 1)::DOUBLE / (count(DISTINCT k.id) + 1)) AS idf
+  FROM (SELECT unnest(range({DIM})) AS b) d LEFT JOIN buckets k ON k.b = d.b AND k.side = 0 GROUP BY 1),
+weighed AS (SELECT side, id, b, count(*) * any_value(idf) AS x FROM buckets JOIN idf USING (b) GROUP BY 1, 2, 3),
+unit AS MATERIALIZED (SELECT side, id, b, x / sqrt(sum(x * x) OVER (PARTITION BY side, id)) AS x FROM weighed WHERE x > 0)"""
 CTX = f"""{QA_SQL},
 {CHUNKS},
-ranked AS (SELECT doc_id, filename, content, row_number() OVER (PARTITION BY doc_id ORDER BY chunk_index) AS rank FROM chunks),
-ctx AS (SELECT doc_id, filename, content, rank FROM ranked WHERE rank <= 5)"""
+{EMBEDDED},
+dense AS (SELECT t.side, t.id, list(coalesce(u.x, 0) ORDER BY d.b) AS v FROM texts t CROSS JOIN (SELECT unnest(range({DIM})) AS b) d
+  LEFT JOIN unit u ON u.side = t.side AND u.id = t.id AND u.b = d.b GROUP BY 1, 2),
+sim AS (SELECT q.id AS query_id, c.id AS cand_id, round(list_inner_product(q.v, c.v), 12) AS score FROM dense q, dense c WHERE q.side = 1 AND c.side = 0),
+top AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, cand_id) AS rank FROM sim
+  QUALIFY rank <= {K}),
+ctx AS MATERIALIZED (SELECT query_id, query_id // 1000 AS conv_id, query_id % 1000 AS turn, score, rank, filename, content
+  FROM top JOIN chunks ON cand_id = doc_id * {CHUNK_IDS} + chunk_index)"""
+
+
+def asked(spark, folder):
+    return question_answers(spark, folder).withColumn("query_id", F.col("conv_id") * 1000 + F.col("turn"))
+
+
+def retrieved(spark, folder, k=K):
+    """The chunks of all documents nearest to each question; chunked once, encoded by the built-in encoder."""
+    store = cut_lineage(chunks(spark, folder).select(
+        (F.col("doc_id") * CHUNK_IDS + F.col("chunk_index")).alias("cand_id"), "filename", "content"))
+    return vx.retrieve(store, asked(spark, folder), vx.hash_encoder(store, "content", DIM), k)
 
 
 def contexts(spark, folder):
-    """Questions and answers, each with the first five chunks of the document of its conversation."""
-    pieces = F.slice(F.filter(F.transform(split_text("content"), strip), lambda p: F.length(p) > 0), 1, 5)
-    docs = dealt(spark, folder).select(F.col("doc_id").alias("conv_id"), "filename", pieces.alias("contexts"))
-    joined = question_answers(spark, folder).join(docs, "conv_id", "left")
+    """Questions and answers, each with the contents of its retrieved chunks in order of rank."""
+    ranked = F.array_sort(F.collect_list(F.struct("rank", "content")))  # at most k of them
+    lists = retrieved(spark, folder).groupBy("query_id").agg(F.transform(ranked, lambda c: c["content"]).alias("contexts"))
+    joined = asked(spark, folder).join(lists, "query_id", "left")
     return joined.withColumn("contexts", F.coalesce("contexts", F.array().cast("array<string>")))
 
 
@@ -184,9 +212,9 @@ def cosine_sql(src, a, b, out, score):
 
 
 RELEVANCY = cosine_sql("qa", "question", "answer", "rel", "answer_relevancy")
-FAITH = f"""joined AS (SELECT conv_id, turn, answer, (SELECT string_agg(content, ' ' ORDER BY rank) FROM ctx WHERE doc_id = conv_id) AS context FROM qa),
+FAITH = f"""joined AS (SELECT conv_id, turn, answer, (SELECT string_agg(content, ' ' ORDER BY rank) FROM ctx WHERE ctx.conv_id = qa.conv_id AND ctx.turn = qa.turn) AS context FROM qa),
 {cosine_sql("joined", "answer", "context", "fai", "answer_faithfulness")}"""
-CONTEXT = f"""qt AS (SELECT conv_id, turn, 0 AS rank, question AS text FROM qa UNION ALL SELECT conv_id, turn, rank, content FROM qa JOIN ctx ON doc_id = conv_id),
+CONTEXT = f"""qt AS (SELECT conv_id, turn, 0 AS rank, question AS text FROM qa UNION ALL SELECT conv_id, turn, rank, content FROM qa JOIN ctx USING (conv_id, turn)),
 nn AS (SELECT conv_id, turn, count(*) AS n FROM qt GROUP BY 1, 2),
 {tokens_sql("qt", "text", "conv_id, turn, rank", "tk")},
 wd AS (SELECT t.*, c * (ln((1 + n)::DOUBLE / (1 + count(*) OVER (PARTITION BY t.conv_id, t.turn, w))) + 1) AS x FROM tk t JOIN nn ON nn.conv_id = t.conv_id AND nn.turn = t.turn),
@@ -240,15 +268,43 @@ def _(spark, folder):
     return gates.metric_summary(tt.rag_scores(contexts(spark, folder), KEYS, STOP), RAG_COLS.split())
 
 
-@register("assemble_prompt", f"""WITH {CTX},
-b AS (SELECT conv_id, turn, question, string_agg('[' || rank || '] (source: ' || filename || ')' || chr(10) || content, chr(10) || chr(10) ORDER BY rank) AS context
-      FROM qa LEFT JOIN ctx ON doc_id = conv_id GROUP BY 1, 2, 3)
-SELECT conv_id * 1000 + turn AS query_id, 'Answer based on context:' || chr(10) || chr(10) || coalesce(context, '') || chr(10) || chr(10) || 'Question: ' || question
-       || chr(10) || chr(10) || 'Answer:' AS prompt FROM b""")
+def prompt_sql(context, question):
+    head, middle, end = (" || ".join(f"'{part}'" for part in text.replace("\n", "\0|\0").split("\0") if part).replace("'|'", "chr(10)")
+                         for text in (tt.PROMPT_HEAD, tt.PROMPT_QUESTION, tt.PROMPT_END))
+    return f"{head} || coalesce({context}, '') || {middle} || {question} || {end}"
+
+
+SOURCES_SQL = "string_agg('[' || rank || '] (source: ' || coalesce(filename, 'unknown') || ')' || chr(10) || content, chr(10) || chr(10) ORDER BY rank)"
+PROMPTS = f"""{CTX},
+b AS (SELECT q.conv_id * 1000 + q.turn AS query_id, question, {SOURCES_SQL} AS context, avg(score) AS context_relevance
+      FROM qa q LEFT JOIN ctx c ON c.conv_id = q.conv_id AND c.turn = q.turn GROUP BY 1, 2)"""
+
+
+@register("assemble_prompt", f"WITH {PROMPTS} SELECT query_id, {prompt_sql('context', 'question')} AS prompt FROM b")
+def _(spark, folder):
+    return tt.assemble_prompt(retrieved(spark, folder), asked(spark, folder))
+
+
+@register("retrieve_batch", f"""WITH {PROMPTS} SELECT query_id, {prompt_sql('context', 'question')} AS prompt,
+round(context_relevance, 6) + 0.0 AS context_relevance FROM b""")
+def _(spark, folder):
+    """Questions → nearest chunks of all documents → prompt and retrieval score."""
+    found = cut_lineage(retrieved(spark, folder))
+    return tt.assemble_prompt(found, asked(spark, folder)).join(vx.context_relevance_dense(found), "query_id", "left")
+
+
+@register("k_sweep", select_sql(f"""{CTX}, e AS (SELECT k, query_id, avg(score) AS cr FROM ctx JOIN (SELECT unnest([1, 2, 3, 5]) AS k) ks ON rank <= k GROUP BY 1, 2),
+o AS (SELECT k, avg(cr) AS mean_cr, stddev_pop(cr) AS std_cr FROM e GROUP BY 1)""", "o", "", "mean_cr std_cr", "k"))
+def _(spark, folder):
+    return vx.k_sweep(retrieved(spark, folder), [1, 2, 3, 5])
+
+
+@register("hash_embed", f"""WITH {QA_SQL}, {CHUNKS}, {EMBEDDED}
+SELECT id // {CHUNK_IDS} AS doc_id, id % {CHUNK_IDS} AS chunk_index, b AS bucket, round(x, 6) + 0.0 AS weight FROM unit WHERE side = 0""")
 def _(spark, folder):
-    rows = contexts(spark, folder).withColumn("query_id", F.col("conv_id") * 1000 + F.col("turn"))
-    found = rows.select("query_id", "filename", F.posexplode("contexts").alias("pos", "content")).withColumn("rank", F.col("pos") + 1)
-    return tt.assemble_prompt(found, rows.select("query_id", "question"))
+    """The numbers above zero of the hashed TF-IDF vectors of all chunks."""
+    store = cut_lineage(chunks(spark, folder).select("doc_id", "chunk_index", "content"))
+    return vx.hash_embed(store, "content", DIM).select("doc_id", "chunk_index", F.posexplode("embedding").alias("bucket", "weight")).where("weight > 0")
 
 
 @register("read_text_docs", f"""

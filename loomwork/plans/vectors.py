@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from loomwork.operators import texts as tt
 from loomwork.operators import vectors as vx
 from loomwork.plans.registry import register, select_sql
-from loomwork.plans.texts import CHUNKS, chunks
 from loomwork.sources.derived import DOC_SQL, documents, vectors
 
 VEC = """vec AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
@@ -81,12 +80,6 @@ def _(spark, folder):
     return vx.context_relevance_dense(found(spark, folder, 5))
 
 
-@register("k_sweep", select_sql(f"""{VEC}, e AS (SELECT k, query_id, avg(score) AS cr FROM found JOIN (SELECT unnest([1, 2, 3, 5]) AS k) ks ON rank <= k GROUP BY 1, 2),
-o AS (SELECT k, avg(cr) AS mean_cr, stddev_pop(cr) AS std_cr FROM e GROUP BY 1)""", "o", "", "mean_cr std_cr", "k"))
-def _(spark, folder):
-    return vx.k_sweep(found(spark, folder, 5), [1, 2, 3, 5])
-
-
 @register("similarity_matrix", """WITH vec AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 unit AS (SELECT vec_id, label, CASE WHEN n > 0 THEN list_transform(v, lambda x: x / n) ELSE v END AS v
          FROM (SELECT *, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS n FROM vec))
@@ -105,30 +98,6 @@ def _(spark, folder):
     return vx.mean_offdiag_similarity(base(spark, folder))
 
 
-@register("retrieve_batch", f"""WITH {VEC}, {DOC_SQL},
-top AS (SELECT * FROM found WHERE rank <= 5),
-p AS (SELECT query_id, avg(score) AS context_relevance, string_agg('[' || rank || '] (source: ' || coalesce(filename, 'unknown') || ')' || chr(10) || content, chr(10) || chr(10) ORDER BY rank) AS context
-      FROM top LEFT JOIN docs ON doc_id = cand_id GROUP BY 1)
-SELECT query_id::BIGINT AS query_id, 'Answer based on context:' || chr(10) || chr(10) || coalesce(context, '') || chr(10) || chr(10) || 'Question: What is group ' || query_id || ' about?' || chr(10) || chr(10) || 'Answer:' AS prompt,
-       round(context_relevance, 6) + 0.0 AS context_relevance FROM p""")
-def _(spark, folder):
-    """Questions → nearest documents → prompt and retrieval score."""
-    hits = found_documents(spark, folder, 5)
-    asked = vx.centroids(base(spark, folder), "label").select(
-        "query_id", F.concat(F.lit("What is group "), F.col("query_id").cast("string"), F.lit(" about?")).alias("question")
-    )
-    return tt.assemble_prompt(hits, asked).join(vx.context_relevance_dense(hits), "query_id")
-
-
-@register("hash_embed", f"""WITH {CHUNKS} SELECT doc_id, CAST(chunk_index AS BIGINT) AS chunk_index, 384::BIGINT AS dim, 1.0::DOUBLE AS length FROM chunks""")
-def _(spark, folder):
-    """Hashed TF-IDF vectors of the chunks: dimension and length of each (the tests check the values)."""
-    from loomwork.functions.vectors import norm
-
-    rows = chunks(spark, folder).select("doc_id", "chunk_index", "content")
-    return vx.hash_embed(rows, "content").select("doc_id", "chunk_index", F.size("embedding").alias("dim"), norm("embedding").alias("length"))
-
-
 @register("pca_2d")
 def _(spark, folder):
     return vx.pca_2d(base(spark, folder).withColumnRenamed("cand_id", "vec_id"), ["vec_id", "label"])
