@@ -12,7 +12,11 @@ def norm(vector: str | Column) -> Column:
 
 
 def l2_normalise(vector: str | Column) -> Column:
-    """Unit-length vector; a zero vector stays as it is."""
+    """Unit-length vector; a zero vector stays as it is.
+
+    The length is bound once, as the variable of an outer lambda: written out inside the inner one it would be
+    computed again for every element.
+    """
     v = F.col(vector) if isinstance(vector, str) else vector
-    length = norm(v)
-    return F.when(length > 0, F.transform(v, lambda x: x / length)).otherwise(v)
+    scaled = F.transform(F.array(norm(v)), lambda length: F.when(length > 0, F.transform(v, lambda x: x / length)).otherwise(v))
+    return F.get(scaled, F.lit(0))
