@@ -69,6 +69,32 @@ def test_hashed_texts_are_unit_vectors(spark):
     assert rows[1] @ rows[3] == pytest.approx(1) and rows[1] @ rows[2] < 0.5
 
 
+def test_unit_vectors_and_blank_texts(spark):
+    from loomwork.functions.vectors import l2_normalise
+
+    df = spark.createDataFrame([(1, [3.0, 4.0]), (2, [0.0, 0.0]), (3, None), (4, [])], "id int, v array<double>")
+    got = {r["id"]: r["u"] for r in df.select("id", l2_normalise("v").alias("u")).collect()}
+    assert got == {1: [0.6, 0.8], 2: [0.0, 0.0], 3: None, 4: []}
+    texts = spark.createDataFrame([(1, None), (2, ""), (3, "a b")], "id int, content string")
+    rows = {r["id"]: r["embedding"] for r in vx.hash_embed(texts, "content", 16).collect()}
+    assert rows[1] == rows[2] == [0.0] * 16 and np.linalg.norm(rows[3]) == pytest.approx(1)
+
+
+def test_retrieval_takes_any_encoder_and_keeps_to_k(spark):
+    store = spark.createDataFrame([(1, "red", "a.txt"), (2, "green green", "b.txt"), (3, "red green", "c.txt")], "cand_id long, content string, filename string")
+    asked = spark.createDataFrame([(7, "red"), (8, "green")], "query_id long, question string")
+
+    def encoder(rows, column):
+        count = [F.size(F.array_remove(F.transform(F.split(column, " "), lambda w: w == colour), False)) for colour in ("red", "green")]
+        return rows.withColumn("embedding", F.array(*[c.cast("double") for c in count]))
+
+    found = vx.retrieve(store, asked, encoder, 2).orderBy("query_id", "rank").collect()
+    assert [(r["query_id"], r["rank"], r["filename"]) for r in found] == [(7, 1, "a.txt"), (7, 2, "c.txt"), (8, 1, "b.txt"), (8, 2, "c.txt")]
+    assert found[0]["score"] == pytest.approx(1) and found[1]["score"] == pytest.approx(0.5 ** 0.5)
+    built_in = vx.retrieve(store, asked, vx.hash_encoder(store, "content", 64), 1).collect()
+    assert {(r["query_id"], r["cand_id"]) for r in built_in} == {(7, 1), (8, 2)}
+
+
 def test_k_sweep(spark):
     found = spark.createDataFrame([(1, 1, 1.0), (1, 2, 0.5), (2, 1, 0.8), (2, 2, 0.0)], "query_id int, rank int, score double")
     got = {r["k"]: (r["mean_cr"], r["std_cr"]) for r in vx.k_sweep(found, [1, 2]).collect()}
