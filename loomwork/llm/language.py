@@ -6,6 +6,10 @@ the Nyström method onto landmark texts, and one kernel ridge regression per lan
 linear in its presence vector, so the landmark product is folded into one matrix and batches of texts are scored by a
 single matrix product.
 
+The scores of a text sum to one whatever it is, so they tell languages apart but not whether a text fits any of them. That
+is judged by coverage: the share of a text's n-grams of letters that are common in a language. Floors of coverage are set
+on the labelled sample, each text held against the others of its language and against the other languages.
+
 Defined cases: null, empty and letterless texts are ``und`` with score 0; with no labelled row at all everything is ``und``.
 Equal scores go to the first language in code point order. Whole texts are read, in pieces of bounded size.
 """
@@ -13,7 +17,8 @@ Equal scores go to the first language in code point order. Whole texts are read,
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+import re
+from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -26,6 +31,8 @@ BITS = 15
 WIDTH = 1 << BITS
 PIECE = 1 << 20
 UNKNOWN = "und"
+LEAST_TEXTS = 8
+NO_WORD, DIGIT, NO_LETTERS = re.compile(r"[\W_]+"), re.compile(r"\d"), re.compile(r"[\W\d_]+")
 
 
 def presence(text: str) -> np.ndarray:
@@ -45,13 +52,28 @@ def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
+def letters_only(text: str) -> str:
+    """The words without digits, single spaces around them: numbers, keys and punctuation are of no language.
+
+    If all words have digits, their letters stand alone.
+    """
+    words = [word for word in NO_WORD.split(text) if word and not DIGIT.search(word)]
+    return f" {' '.join(words or NO_LETTERS.sub(' ', text).split())} "
+
+
 @dataclass
 class Model:
-    """Folded weights (bucket x language), one intercept per language and the languages in code point order."""
+    """Folded weights (bucket x language), one intercept per language and the languages in code point order.
+
+    ``common`` (language x bucket) marks the n-grams of letters that are common in a language, ``floors`` the coverage that
+    its texts reach; it is 0 for languages with too few labelled texts to tell.
+    """
 
     weights: np.ndarray
     intercept: np.ndarray
     languages: list[str]
+    common: np.ndarray = field(default_factory=lambda: np.zeros((0, WIDTH), np.uint8))
+    floors: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     def scores(self, texts: list[str], rows: int = 64) -> np.ndarray:
         out = np.empty((len(texts), len(self.languages)), np.float64)
@@ -73,9 +95,52 @@ class Model:
         return ([self.languages[b] if k else UNKNOWN for b, k in zip(best, known)],
                 [float(s[b]) if k else 0.0 for s, b, k in zip(scores, best, known)])
 
+    def fits(self, texts: list[str], rows: int = 64) -> list[bool]:
+        """Does a text reach the floor of a language, or has the one it is nearest to none?"""
+        floor = dict(zip(self.languages, self.floors))
+        predicted = self.predict(texts)[0]
+        out = [name != UNKNOWN for name in predicted]
+        judged = [i for i, name in enumerate(predicted) if name != UNKNOWN and floor[name]]
+        for start in range(0, len(judged), rows):
+            part = judged[start:start + rows]
+            reached = coverage(np.stack([presence(letters_only(texts[i])) for i in part]), self.common)
+            for i, fit in zip(part, ((reached >= self.floors) & (self.floors > 0)).any(1)):
+                out[i] = bool(fit)
+        return out
+
+
+def coverage(seen: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """(text x language) share of each text's n-grams that are common in each language."""
+    x = seen.astype(np.float32)
+    return (x @ common.T.astype(np.float32)) / np.maximum(x.sum(1), 1)[:, None]
+
 
-def labelled_sample(train: DataFrame, rows: int, languages: int) -> list[tuple[str, bytes]]:
-    """Up to ``rows`` labelled presence vectors as (language, packed bits), shared evenly by the most frequent languages.
+def coverage_floors(sample: list[tuple[str, bytes]], names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``common`` and ``floors`` from (language, packed presence bits of the letters).
+
+    An n-gram is common if one in a hundred texts of the language hold it, and one more. A floor lies half way between what
+    the median text reaches, itself not counted, and what the median text of the nearest other language does; if texts of
+    the language scatter wider than that, below their fifth percentile by as much as that is below the median.
+    """
+    seen = {name: np.unpackbits(np.frombuffer(b"".join(bits for lang, bits in sample if lang == name), np.uint8)).reshape(-1, WIDTH) for name in names}
+    held = np.array([seen[name].sum(0, dtype=np.int64) for name in names])
+    least = np.array([1 + len(seen[name]) // 100 for name in names])
+    common = (held >= least[:, None]).astype(np.uint8)
+    reached = {name: np.median(coverage(seen[name], common), axis=0) for name in names}
+    floors = np.zeros(len(names))
+    for i, name in enumerate(names):
+        if len(seen[name]) < LEAST_TEXTS:
+            continue
+        own = coverage(seen[name], (held[i] > least[i])[None])[:, 0]
+        middle, low = np.median(own), np.quantile(own, 0.05)
+        other = max([common[i].mean(), *[reached[n][i] for n in names if n != name and len(seen[n]) >= LEAST_TEXTS]])
+        floors[i] = max(0.0, min((middle + other) / 2, 2 * low - middle))
+    return common, floors
+
+
+def labelled_sample(train: DataFrame, rows: int, languages: int) -> list[tuple[str, bytes, bytes]]:
+    """Up to ``rows`` labelled presence vectors as (language, packed bits, those of the letters), shared evenly by the most
+    frequent languages.
 
     Rows are picked by the hash of their id; the texts themselves stay on the executors.
     """
@@ -90,13 +155,14 @@ def labelled_sample(train: DataFrame, rows: int, languages: int) -> list[tuple[s
         wanted = F.when(F.col("lang") == row["lang"], F.lit(limit)).otherwise(wanted)
     picked = (train.select(F.col("lang"), F.col("text"), F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(span)).alias("_place"))
               .where(F.col("lang").isNotNull() & (F.col("_place") < wanted)))
-    vectors = add_columns(picked, "_bits binary", lambda texts: [[np.packbits(presence(t)).tobytes() for t in texts]])
-    found = vectors.select("lang", "_place", "_bits").collect()
+    vectors = add_columns(picked, "_bits binary, _letters binary", lambda texts: [
+        [np.packbits(presence(t)).tobytes() for t in texts], [np.packbits(presence(letters_only(t))).tobytes() for t in texts]])
+    found = vectors.select("lang", "_place", "_bits", "_letters").collect()
     out, taken = [], {}
     for row in sorted(found, key=lambda r: (r["_place"], r["lang"], bytes(r["_bits"]))):
         if taken.get(row["lang"], 0) < share:
             taken[row["lang"]] = taken.get(row["lang"], 0) + 1
-            out.append((row["lang"], bytes(row["_bits"])))
+            out.append((row["lang"], bytes(row["_bits"]), bytes(row["_letters"])))
     return out
 
 
@@ -105,7 +171,9 @@ def fit(train: DataFrame, rows: int = 2000, landmarks: int = 240, ridge: float =
     sample = labelled_sample(train, rows, languages)
     if not sample:
         return Model(np.zeros((WIDTH, 0), np.float32), np.zeros(0), [])
-    names = sorted({lang for lang, _ in sample})
+    names = sorted({lang for lang, _, _ in sample})
+    common, floors = coverage_floors([(lang, letters) for lang, _, letters in sample], names)
+    sample = [(lang, bits) for lang, bits, _ in sample]
     sample.sort(key=lambda row: row[1])
     chosen, taken = [], {}
     for i, (lang, _) in enumerate(sample):
@@ -131,7 +199,7 @@ def fit(train: DataFrame, rows: int = 2000, landmarks: int = 240, ridge: float =
     centred = features - middle
     gram = centred.T @ centred + ridge * len(sample) * np.eye(centred.shape[1]) / centred.shape[1]
     beta = np.linalg.solve(gram, centred.T @ (target - mean))
-    return Model((marks.T @ (whiten @ beta)).astype(np.float32), mean - middle @ beta, names)
+    return Model((marks.T @ (whiten @ beta)).astype(np.float32), mean - middle @ beta, names, common, floors)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -140,8 +208,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return add_columns(docs, "lang_pred string, score double", lambda texts: list(shared.value.predict(texts)))
 
 
-def keep_known(docs: DataFrame, model: Model, min_score: float = 0.2) -> DataFrame:
-    """The documents whose language is known with at least ``min_score``; columns as they were."""
-    scored = identify(docs, model)
-    kept = scored.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+def keep_known(docs: DataFrame, model: Model) -> DataFrame:
+    """The documents whose text has a letter and fits a learned language; columns as they were."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    judged = add_columns(docs, "_fits boolean", lambda texts: [shared.value.fits(texts)])
+    return judged.where("_fits").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -54,3 +54,27 @@ def test_tables_without_rows(spark):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, path).count() == 0
+
+
+def test_texts_that_fit_no_learned_language_go(spark):
+    rng = random.Random(5)
+    words = {**WORDS, "xx": ["żółw", "wszystkie", "przez", "książka", "jeszcze", "człowiek", "mógł"]}
+
+    def prose(lang, n):
+        return " ".join(rng.choice(words[lang]) + rng.choice(["", "er", "ed", "ly", "ou"]) for _ in range(n))
+
+    rows = [(i, prose(lang := "en" if i % 3 else "fr", 60), lang) for i in range(120)]
+    rows += [(200 + i, prose("xx", 60), None) for i in range(5)]
+    rows += [(210 + i, " ".join("".join(rng.choice("bcdfghjkmpqvwxz") for _ in range(6)) for _ in range(60)), None) for i in range(5)]
+    rows += [(300, f"{prose('en', 60)} {rng.getrandbits(900):x}a1 +1 (555) 010-7788", None), (301, "x1 q2 9z", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in corpus_pipeline.known_language(spark, docs, "").collect()} == set(range(120)) | {300}
+
+
+@pytest.mark.parametrize("n", [1, 3, 7])
+def test_learned_texts_stay_however_many_languages(spark, n):
+    rng = random.Random(n)
+    kinds = [["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 7))) for _ in range(40)] for _ in range(n + 1)]
+    rows = [(100 * k + i, " ".join(rng.choices(kinds[k], k=80)), f"l{k}" if k < n else None) for k in range(n + 1) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in corpus_pipeline.known_language(spark, docs, "").collect()} == {r[0] for r in rows if r[2]}
