@@ -96,15 +96,21 @@ class Model:
                 [float(s[b]) if k else 0.0 for s, b, k in zip(scores, best, known)])
 
     def fits(self, texts: list[str], rows: int = 64) -> list[bool]:
-        """Does a text reach the floor of a language, or has the one it is nearest to none?"""
+        """Does a text reach the floor of a language, or has the one it is nearest to none?
+
+        A text in several learned languages need not reach any floor: then all languages together must cover it, up to
+        half of what the highest floor lets pass.
+        """
         floor = dict(zip(self.languages, self.floors))
         predicted = self.predict(texts)[0]
         out = [name != UNKNOWN for name in predicted]
         judged = [i for i, name in enumerate(predicted) if name != UNKNOWN and floor[name]]
         for start in range(0, len(judged), rows):
             part = judged[start:start + rows]
-            reached = coverage(np.stack([presence(letters_only(texts[i])) for i in part]), self.common)
-            for i, fit in zip(part, ((reached >= self.floors) & (self.floors > 0)).any(1)):
+            seen = np.stack([presence(letters_only(texts[i])) for i in part])
+            one = ((coverage(seen, self.common) >= self.floors) & (self.floors > 0)).any(1)
+            mixed = coverage(seen, self.common.max(0)[None])[:, 0] >= (1 + self.floors.max()) / 2
+            for i, fit in zip(part, one | mixed):
                 out[i] = bool(fit)
         return out
 

@@ -66,9 +66,9 @@ def test_texts_that_fit_no_learned_language_go(spark):
     rows = [(i, prose(lang := "en" if i % 3 else "fr", 60), lang) for i in range(120)]
     rows += [(200 + i, prose("xx", 60), None) for i in range(5)]
     rows += [(210 + i, " ".join("".join(rng.choice("bcdfghjkmpqvwxz") for _ in range(6)) for _ in range(60)), None) for i in range(5)]
-    rows += [(300, f"{prose('en', 60)} {rng.getrandbits(900):x}a1 +1 (555) 010-7788", None), (301, "x1 q2 9z", None)]
+    rows += [(300, f"{prose('en', 60)} {rng.getrandbits(900):x}a1 +1 (555) 010-7788", None), (301, "x1 q2 9z", None), (302, f"{prose('en', 60)} {prose('fr', 60)}", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    assert {r.doc_id for r in corpus_pipeline.known_language(spark, docs, "").collect()} == set(range(120)) | {300}
+    assert {r.doc_id for r in corpus_pipeline.known_language(spark, docs, "").collect()} == set(range(120)) | {300, 302}
 
 
 @pytest.mark.parametrize("n", [1, 3, 7])
