@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import contamination, jaccard, language, lines, mixing, privacy, quality, suffixes, tokens, toxicity
+from loomwork.llm import (
+    centroids, contamination, conversations, fingerprints, jaccard, language, lines, mixing, privacy, quality, suffixes, tokens, toxicity,
+)
 from loomwork.llm.common import documents, held_out
 from loomwork.session import fresh_path
 
@@ -159,3 +161,18 @@ FROM coded c LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     kept = suffixes.remove_repeats(documents(spark, folder))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op11_conversation_repair")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair_damaged(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
+@register("op12_centroid_clustering")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+@register("op13_document_fingerprints")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(documents(spark, folder)).drop("edited")
