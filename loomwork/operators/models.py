@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.operators.ordered import running_totals
-from loomwork.operators.vectors import nearest
+from loomwork.operators.vectors import cell_neighbours
 from loomwork.session import sized
 
 # The grid the search draws from.
@@ -44,12 +44,12 @@ def stratified_split(df: DataFrame, label: str = "class", ident: str = "id", tes
 def smote(df: DataFrame, features: Sequence[str], label: str = "class", ident: str = "id", k: int = 5, minority: int = 1) -> DataFrame:
     """Add minority rows until both classes are equal in number.
 
-    A new row lies between a minority row and one of its ``k`` nearest minority rows. Row, neighbour and position
-    come from ranks and arithmetic hashes, so the result repeats.
+    A new row lies between a minority row and one of its ``k`` nearest minority rows (exact, by space cells:
+    ``cell_neighbours``). Row, neighbour and position come from ranks and arithmetic hashes, so the result repeats.
     """
     rare = df.filter(F.col(label) == minority).select(F.col(ident).alias("cand_id"), F.array(*[F.col(f).cast("double") for f in features]).alias("v"))
-    around = nearest(rare, rare.withColumnRenamed("cand_id", "query_id"), k + 1, "l2").filter("query_id != cand_id")
-    # the row itself is dropped from its k + 1 nearest; the others close up
+    # exact k nearest other minority rows, searched by space cells: no all-pairs scan
+    around = cell_neighbours(rare.select(F.col("cand_id").alias("id"), "v"), k)
     order = F.array_sort(F.collect_list(F.struct("rank", "cand_id")))
     friends = around.groupBy("query_id").agg(F.slice(order, 1, k).alias("near")).select("query_id", F.transform("near", lambda r: r["cand_id"]).alias("near"))
     sizes = df.agg(F.count_if(F.col(label) == minority).alias("few"), F.count_if(F.col(label) != minority).alias("many"))

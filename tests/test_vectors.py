@@ -111,3 +111,21 @@ def test_group_similarity(spark, block):
     assert len(got) == 28
     for (a, b), value in got.items():
         assert value == pytest.approx((u[group == a] @ u[group == b].T).mean())
+
+
+def test_cell_neighbours_are_exact(spark):
+    from loomwork.operators.vectors import cell_neighbours
+
+    rng = np.random.default_rng(5)
+    pts = np.round(rng.normal(0, 1, (700, 3)), 1)  # rounding makes many ties
+    pts[100:160] = pts[99]  # a group of copies
+    rows = [(i, [float(x) for x in p]) for i, p in enumerate(pts)] + [(900, [float("nan"), 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    got = sorted((r["query_id"], r["rank"], r["cand_id"]) for r in cell_neighbours(df, 5, leaf_rows=16, sample_rows=200).collect())
+    want = []
+    for i, p in enumerate(pts):
+        d = ((pts - p) ** 2).sum(1)
+        order = sorted((d[j], j) for j in range(len(pts)) if j != i)[:5]
+        want += [(i, r + 1, j) for r, (_, j) in enumerate(order)]
+    assert got == sorted(want)
+    assert cell_neighbours(df.limit(0), 5).count() == 0
