@@ -15,8 +15,8 @@ Pointers are doubled (2^j steps) and each node is ranked by its distance to the
 source's path is read off by the same doubled pointers, so its audit and repaired rows come in order.
 
 Scale. Damage, nulls and counts are Spark columns; the sequential part (order inside one conversation, its DP and the
-sha256 chain of its repaired text) runs per conversation in ``applyInPandas``, one group per conversation: a single
-conversation is a single task (its rows and texts are in memory once); conversations are dealt over all tasks.
+sha256 chain of its repaired text) runs in one Arrow pass over partitions dealt by conv_id and sorted inside: a single
+conversation is walked by a single task (its rows and texts are in memory once); conversations are dealt over all tasks.
 
 Defined cases: null text or role is one space (so a null role is illegal everywhere and must be rerolled or deleted; a
 null text is blank); a null conv_id is a conversation of its own; a conversation whose rows were all dropped gives zeros,
@@ -29,10 +29,15 @@ from __future__ import annotations
 import hashlib
 import re
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type, to_arrow_schema
 
 MODULUS = 20
 SPACE = " "
@@ -105,26 +110,30 @@ def arcs(i: int, q: int, n: int, initials: list[str], fault: list[str]):
     return out
 
 
-def cheapest(n: int, initials: list[str], fault: list[str]) -> np.ndarray:
+def arc_table(n: int, initials: list[str], fault: list[str]) -> list[list[list]]:
+    """The arcs of every node, listed once."""
+    return [[arcs(i, q, n, initials, fault) for q in range(4)] for i in range(n + 1)]
+
+
+def cheapest(n: int, table: list[list[list]]) -> np.ndarray:
     """Cost to the end of every node (n + 1 layers x 4 states): backward over rows, inserts relaxed inside a layer."""
     cost = np.full((n + 1, 4), INF)
+    for q in ACCEPT:
+        cost[n, q] = 0.0
     for i in range(n, -1, -1):
-        for q in ACCEPT:
-            if i == n:
-                cost[i, q] = 0.0
         for q in range(4):
-            for label, c, (j, h), _ in arcs(i, q, n, initials, fault):
+            for label, c, (j, h), _ in table[i][q]:
                 if j == i + 1:
                     cost[i, q] = min(cost[i, q], c + cost[j, h])
         for _ in range(4):  # insert arcs inside the layer have positive costs: four relaxations settle them
             for q in range(4):
-                for label, c, (j, h), _ in arcs(i, q, n, initials, fault):
+                for label, c, (j, h), _ in table[i][q]:
                     if j == i:
                         cost[i, q] = min(cost[i, q], c + cost[j, h])
     return cost
 
 
-def least_path(n: int, initials: list[str], fault: list[str], cost: np.ndarray) -> list[tuple[str, int, str | None]]:
+def least_path(n: int, table: list[list[list]], cost: np.ndarray) -> list[tuple[str, int, str | None]]:
     """(label, row, emitted initial) along the least optimal path from (0, 0), read by doubled pointers."""
     nodes = (n + 1) * 4
     pointer = np.arange(nodes)
@@ -135,7 +144,7 @@ def least_path(n: int, initials: list[str], fault: list[str], cost: np.ndarray)
             if i == n and q in ACCEPT:
                 continue  # the end: the empty rest is the least
             best = None
-            for label, c, (j, h), emit in arcs(i, q, n, initials, fault):
+            for label, c, (j, h), emit in table[i][q]:
                 if cost[i, q] < INF and abs(c + cost[j, h] - cost[i, q]) < 1e-9 and (best is None or label < best[0]):
                     best = (label, j * 4 + h, emit)
             if best:
@@ -161,21 +170,19 @@ def least_path(n: int, initials: list[str], fault: list[str], cost: np.ndarray)
     return [chosen[int(v)] for v in at]
 
 
-def repair_one(conv: pd.DataFrame) -> dict:
-    rows = conv[~conv["gone"].astype(bool)].copy()
-    turns = rows["turn"].dropna()
-    gaps = int(turns.max() - turns.min() + 1 - turns.nunique()) if len(turns) else 0
-    rows["null_turn"] = rows["turn"].isna()
-    rows = rows.sort_values(["null_turn", "turn", "role", "text"], ascending=[False, True, True, True], kind="stable")
-    roles, texts = rows["role"].tolist(), rows["text"].tolist()
+def repair_rows(turns: list, roles: list[str], texts: list[str]) -> dict:
+    """The repair of one conversation's rows, already in order (turn nulls first, role, text)."""
+    known = [t for t in turns if t is not None]
+    gaps = int(max(known) - min(known) + 1 - len(set(known))) if known else 0
     n = len(roles)
+    if n == 0:
+        return dict(gaps=gaps, blank=0, duplicate=0, truncated=0, illegal=0, cost=0, audit="", repaired_sha256=EMPTY_SHA)
     fault = faults(roles, texts)
     initials = [r[:1] for r in roles]
     illegal = sum(1 for a, b in zip(initials, initials[1:]) if a + b not in ("su", "ua", "au"))
-    if n == 0:
-        return dict(gaps=gaps, blank=0, duplicate=0, truncated=0, illegal=0, cost=0, audit="", repaired_sha256=EMPTY_SHA)
-    cost = cheapest(n, initials, fault)
-    path = least_path(n, initials, fault, cost)
+    table = arc_table(n, initials, fault)
+    cost = cheapest(n, table)
+    path = least_path(n, table, cost)
     lines = []
     for label, i, emit in path:
         if label == "K":
@@ -189,18 +196,61 @@ def repair_one(conv: pd.DataFrame) -> dict:
                 repaired_sha256=hashlib.sha256("\n".join(lines).encode("utf-8", "surrogatepass")).hexdigest())
 
 
-RESULT = "gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, repaired_sha256 string"
+def repair_one(conv: pd.DataFrame) -> dict:
+    """The same from an unordered frame of (turn, role, text, gone), for small checks."""
+    rows = conv[~conv["gone"].astype(bool)].copy()
+    rows["null_turn"] = rows["turn"].isna()
+    rows = rows.sort_values(["null_turn", "turn", "role", "text"], ascending=[False, True, True, True], kind="stable")
+    turns = [None if pd.isna(t) else int(t) for t in rows["turn"]]
+    return repair_rows(turns, rows["role"].tolist(), rows["text"].tolist())
+
+
+RESULT = [("gaps", pa.int64()), ("blank", pa.int64()), ("duplicate", pa.int64()), ("truncated", pa.int64()), ("illegal", pa.int64()),
+          ("cost", pa.int64()), ("audit", pa.string()), ("repaired_sha256", pa.string())]
 
 
 def repair(rows: DataFrame) -> DataFrame:
-    """Per conversation of (conv_id, turn, role, text, gone): conv_id and the repair's counts, cost, audit and hash."""
-    kind = rows.schema["conv_id"].dataType.simpleString()
+    """Per conversation of (conv_id, turn, role, text, gone): conv_id and the repair's counts, cost, audit and hash.
+
+    Rows are dealt by conv_id and sorted inside the partitions by (conv_id, turn nulls first, role, text); one Arrow
+    pass then walks each partition's conversations in order as plain lists.
+    """
+    kind = rows.schema["conv_id"].dataType
+    schema = T.StructType([T.StructField("conv_id", kind)] + [T.StructField(name, from_arrow_type(t)) for name, t in RESULT])
+    ordered = rows.select("conv_id", "turn", "role", "text", "gone").repartition("conv_id").sortWithinPartitions(
+        F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), "role", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: dict[str, list] = {name: [] for name in ["conv_id"] + [n for n, _ in RESULT]}
+        current, turns, roles, texts = None, [], [], []
+        started = False
+
+        def flush():
+            found = repair_rows(turns, roles, texts)
+            out["conv_id"].append(current)
+            for name, _ in RESULT:
+                out[name].append(found[name])
 
-    def run(conv: pd.DataFrame) -> pd.DataFrame:
-        found = repair_one(conv)
-        return pd.DataFrame([{"conv_id": conv["conv_id"].iloc[0], **found}])
+        for batch in batches:
+            ids, ts, rs, xs, gone = (batch.column(i).to_pylist() for i in range(5))
+            for c, t, r, x, g in zip(ids, ts, rs, xs, gone):
+                if not started or c != current:
+                    if started:
+                        flush()
+                    current, turns, roles, texts, started = c, [], [], [], True
+                if not g:
+                    turns.append(t)
+                    roles.append(r)
+                    texts.append(x)
+            if len(out["conv_id"]) >= 4096:
+                yield pa.RecordBatch.from_pydict(out, schema=to_arrow_schema(schema))
+                out = {name: [] for name in out}
+        if started:
+            flush()
+        if out["conv_id"]:
+            yield pa.RecordBatch.from_pydict(out, schema=to_arrow_schema(schema))
 
-    return rows.select("conv_id", "turn", "role", "text", "gone").groupBy("conv_id").applyInPandas(run, f"conv_id {kind}, {RESULT}")
+    return ordered.mapInArrow(run, schema)
 
 
 def repair_damaged(conversations: DataFrame) -> DataFrame:
