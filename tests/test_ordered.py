@@ -102,3 +102,26 @@ def test_bootstrap_replicas_differ(spark):
         "replica", "conv(substring(md5(concat_ws(',', replica, slot)), 1, 12), 16, 10) % 2480 AS start").groupBy("replica").agg(
         F.collect_list("start").alias("starts"))
     assert starts.select("starts").distinct().count() == 10000
+
+
+def test_kde_of_several_columns_equals_full_sums(spark):
+    import numpy as np
+
+    from loomwork.operators.explore import kde_by_class_columns
+
+    rng = np.random.default_rng(2)
+    rows = [(int(c), float(a), float(b) if i % 7 else None) for i, (c, a, b) in enumerate(zip(rng.integers(0, 2, 400), rng.normal(0, 1, 400), rng.exponential(3, 400)))]
+    rows += [(2, 1.0, 1.0), (2, 1.0, 1.0)]  # a class without spread has no grid
+    df = spark.createDataFrame(rows, "class int, a double, b double")
+    got = {(r["column"], r["class"], r["point"]): (r["grid_x"], r["density"]) for r in kde_by_class_columns(df, ["a", "b"], points=200).collect()}
+    assert len(got) == 2 * 2 * 200
+    for col, idx in (("a", 1), ("b", 2)):
+        for c in (0, 1):
+            x = np.array([r[idx] for r in rows if r[0] == c and r[idx] is not None])
+            n, h = len(x), x.std(ddof=1) * len(x) ** -0.2
+            lo, rng_ = x.min(), x.max() - x.min()
+            for p in range(200):
+                gx = lo - rng_ * 0.5 + p * (rng_ * 2.0 / 199)
+                want = np.exp(-0.5 * ((gx - x) / h) ** 2).sum() / np.sqrt(2 * np.pi) / (n * h)
+                assert got[(col, c, p)][0] == pytest.approx(gx, rel=1e-12, abs=1e-12)
+                assert got[(col, c, p)][1] == pytest.approx(want, rel=1e-9, abs=1e-15)
