@@ -11,7 +11,7 @@ from loomwork.plans.transactions import HOUR
 from loomwork.sources.derived import TXN_SQL, as_transactions, table, transactions
 from loomwork.streaming import alerts
 from loomwork.streaming.run import append_now, file_stream, upsert_now
-from loomwork.streaming.scoring import stream_score, stream_velocity
+from loomwork.streaming.scoring import ingest_batches, stream_ingest_docs, stream_score, stream_velocity
 
 AS_OF = 1707004800.0  # 2024-02-04 00:00:00
 
@@ -68,3 +68,31 @@ def _(spark, folder):
     """Rows the watermark has passed; those of the last hour still wait."""
     events = event_stream(spark, folder).select("event_id", "ts", "user_id", "value")
     return append_now(stream_velocity(events))
+
+
+INGEST_FILES = 2000  # files a micro-batch takes at most
+
+
+def _ingest_sql():
+    from loomwork.plans.texts import chunks_sql, strip_sql
+    from loomwork.sources.derived import DOC_SQL
+
+    return select_sql(f"""{DOC_SQL},
+sdocs AS (SELECT doc_id, filename, file_type, {strip_sql('content')} AS content FROM docs),
+{chunks_sql(src='sdocs')}""", "chunks", "doc_id file_type content", "", "chunk_count chunk_index")
+
+
+@register("stream_ingest_docs", _ingest_sql())
+def _(spark, folder):
+    """The documents as one text file each in the shared folder, taken as a file stream, chunked, encoded and stored
+    batch by batch (each batch once, also after a restart)."""
+    from loomwork.operators.vectors import hash_encoder
+    from loomwork.session import fresh_path
+    from loomwork.sources.derived import documents
+
+    files = fresh_path(spark, "ingest-in")
+    documents(spark, folder).select("doc_id", "content").repartition("doc_id").write.partitionBy("doc_id").text(files)
+    encoder = hash_encoder(documents(spark, folder), "content")
+    stored = ingest_batches(stream_ingest_docs(spark, files, files_per_batch=INGEST_FILES), fresh_path(spark, "ingest"), fresh_path(spark, "ingest-progress"), encoder)
+    ident = F.regexp_extract("source", r"doc_id=(\d+)", 1).cast("bigint").alias("doc_id")
+    return stored.select(ident, "file_type", "content", F.col("chunk_count").cast("bigint").alias("chunk_count"), F.col("chunk_index").cast("bigint").alias("chunk_index"))

@@ -85,13 +85,35 @@ def stream_velocity(events: DataFrame, delay: str = "1 hour", span_hours: int =
     )
 
 
-def stream_documents(spark: SparkSession, folder: str, suffix: str = ".txt") -> DataFrame:
+def stream_documents(spark: SparkSession, folder: str, suffix: str = ".txt", files_per_batch: int | None = None) -> DataFrame:
     """New text files below a folder as a stream of documents."""
     schema = "path string, modificationTime timestamp, length bigint, content binary"
-    files = spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").load(folder)
+    reader = spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    files = reader.load(folder)
     return as_documents(files, suffix)
 
 
-def stream_ingest_docs(spark: SparkSession, folder: str, size: int = 512, overlap: int = 50) -> DataFrame:
+def stream_ingest_docs(spark: SparkSession, folder: str, size: int = 512, overlap: int = 50, files_per_batch: int | None = None) -> DataFrame:
     """New text files as chunks, to be appended to a collection."""
-    return chunk_documents(stream_documents(spark, folder), size, overlap)
+    return chunk_documents(stream_documents(spark, folder, files_per_batch=files_per_batch), size, overlap)
+
+
+def ingest_batches(chunks: DataFrame, path: str, progress: str, encoder=None) -> DataFrame:
+    """Run a chunk stream over what has arrived; returns the stored collection.
+
+    Every micro-batch is encoded (``encoder(rows, "content")`` adds ``embedding``) and written to
+    ``path/batch=<number>`` in overwrite mode. The batch number comes from the stream's progress in ``progress``, so a
+    batch that runs again after a crash or restart replaces what it wrote before: each file's chunks are stored once.
+    A restart with the same ``progress`` takes only files that are new.
+    """
+    spark = chunks.sparkSession
+
+    def store(batch: DataFrame, number: int) -> None:
+        rows = encoder(batch, "content") if encoder else batch
+        rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={number}")
+
+    query = chunks.writeStream.foreachBatch(store).option("checkpointLocation", progress).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.parquet(path)

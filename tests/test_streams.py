@@ -110,3 +110,29 @@ def test_new_files_are_appended_as_chunks(spark, tmp_path):
     rows = run().toPandas()
     assert first > 1 and len(rows) > first and set(rows["filename"]) == {"a.txt", "b.txt"}
     assert rows[rows["filename"] == "b.txt"]["content"].str.contains("�").all()
+
+
+def test_ingest_stores_each_batch_once_across_restarts(spark, tmp_path):
+    from loomwork.operators.vectors import hash_encoder
+    from loomwork.streaming.scoring import ingest_batches
+
+    folder, progress, out = tmp_path / "in", str(tmp_path / "progress"), str(tmp_path / "out")
+    folder.mkdir()
+    for i in range(3):
+        (folder / f"d{i}.txt").write_text(f"Document {i}. " * 40)
+    seed = spark.createDataFrame([("Document one two three.",)], "content string")
+    encoder = hash_encoder(seed, "content", dim=16)
+    first = ingest_batches(stream_ingest_docs(spark, str(folder), 64, 8, files_per_batch=1), out, progress, encoder)
+    n_first = first.count()
+    assert first.select("batch").distinct().count() == 3 and first.where("size(embedding) = 16").count() == n_first
+    # a restart with the same progress takes only the new file
+    (folder / "d3.txt").write_text("Document 3. " * 40)
+    second = ingest_batches(stream_ingest_docs(spark, str(folder), 64, 8, files_per_batch=1), out, progress, encoder)
+    rows = second.toPandas()
+    assert len(rows) == n_first + n_first // 3
+    assert not rows.duplicated(["filename", "chunk_index"]).any()
+    # a batch that runs again writes over itself
+    again = spark.read.parquet(f"{out}/batch=0")
+    again.write.mode("overwrite").parquet(f"{tmp_path}/copy")
+    spark.read.parquet(f"{tmp_path}/copy").write.mode("overwrite").parquet(f"{out}/batch=0")
+    assert spark.read.parquet(out).count() == len(rows)
