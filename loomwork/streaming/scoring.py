@@ -16,6 +16,7 @@ from loomwork.sources.files import as_documents
 
 _OUT = "id bigint, user_id bigint, velocity_count_1h bigint, velocity_amount_1h double"
 _STATE = "at array<double>, id array<bigint>, amount array<double>, waiting array<boolean>"
+SPAN_HOURS = 2  # a user's state group covers two hours (and the hour before as history)
 
 
 def stream_score(stream: DataFrame, stats: DataFrame, scorer: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
@@ -62,13 +63,14 @@ def _step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd
     state.setTimeoutTimestamp(max(int(due * 1000), state.getCurrentWatermarkMs() + 1))
 
 
-def stream_velocity(events: DataFrame, delay: str = "1 hour", span_hours: int = 168) -> DataFrame:
+def stream_velocity(events: DataFrame, delay: str = "1 hour", span_hours: int = SPAN_HOURS) -> DataFrame:
     """Count and spend of each user's previous hour over a stream of ``(event_id, ts, user_id, value)``.
 
     State is kept per user and span of time: the rows still waiting and those of the hour before the watermark. It
     is removed once the watermark has passed the span. Rows of a span's last hour are also sent to the next span,
-    as history, so a busy user's backlog is spread over one task per span. Rows later than the delay are dropped
-    by the watermark.
+    as history, so a busy user's backlog is spread over one group per span: with spans of two hours a group holds at
+    most three hours of one user, however many events the user has. Rows later than the delay are dropped by the
+    watermark.
     """
     span = span_hours * HOUR_S
     timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
