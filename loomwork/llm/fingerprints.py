@@ -62,27 +62,47 @@ def as_text(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), " ")
 
 
-def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+SAMPLE_PER_BUCKET = 100  # sampled sort keys per bucket when the bucket bounds are placed (speed only, never results)
+
+
+def order_key(doc_id: Column, h: Column, place: Column) -> Column:
+    """The total order of rows: doc_id ascending with nulls last, then text hash, then place in the scan."""
+    return F.struct(doc_id.isNull().alias("k0"), F.coalesce(doc_id.cast("long"), F.lit(0).cast("long")).alias("k1"),
+                    h.cast("long").alias("k2"), place.cast("long").alias("k3"))
+
+
+def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
     """(doc_id, t, next_t): every row and the text of the row after it in ascending doc_id (nulls last), the last one
     followed by the first.
 
-    Ties of doc_id are ordered by a hash of the text, the text, and the row's place in the scan, so a hot id is split
-    over ranges too. A range shuffle deals contiguous ranges; the successor inside a range is ``lead``, and only the
-    last row of each range (one per partition) looks up the first row of the next non-empty range.
+    Ties of doc_id are ordered by a hash of the text and the row's place in the scan, so a hot id is split over
+    buckets too. Bucket bounds are placed on a bounded sample of the sort keys (``SAMPLE_PER_BUCKET`` a bucket); every
+    row finds its bucket by its key, map-side, and the texts are dealt by bucket in a single shuffle. The successor
+    inside a bucket is ``lead`` over that same partitioning (no second shuffle); only the last row of each bucket looks
+    up the first row of the next non-empty bucket (one row per bucket).
     """
+    spark = docs.sparkSession
+    parts = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     base = base.select("doc_id", "t", F.xxhash64("t").alias("h"), F.monotonically_increasing_id().alias("place"))
-    order = [F.col("doc_id").asc_nulls_last(), "h", "t", "place"]
-    ranged = base.repartitionByRange(F.col("doc_id").asc_nulls_last(), "h", "place").withColumn("part", F.spark_partition_id())
-    inside = Window.partitionBy("part").orderBy(*order)
-    rows = ranged.select("doc_id", "t", "part", F.lead("t").over(inside).alias("next_t"), F.row_number().over(inside).alias("rank"))
-    firsts = rows.where("rank = 1").select("part", F.col("t").alias("first_t"))
-    parts = firsts.select("part")
-    after = Window.orderBy("part")
-    following = parts.select(
-        "part", F.coalesce(F.lead("part").over(after), F.first("part").over(after.rowsBetween(Window.unboundedPreceding, 0))).alias("to"))
-    ends = rows.where(F.col("next_t").isNull()).join(following, "part").join(
-        firsts.withColumnRenamed("part", "to"), "to").select("doc_id", "t", F.col("first_t").alias("next_t"))
+    key = order_key(F.col("doc_id"), F.col("h"), F.col("place"))
+    keys = base.select(key.alias("key"))
+    total = keys.count()
+    fraction = min(1.0, SAMPLE_PER_BUCKET * parts / max(total, 1))
+    drawn = sorted(tuple(r["key"]) for r in keys.sample(fraction=fraction, seed=13).collect())
+    bounds = [drawn[len(drawn) * i // parts] for i in range(1, parts)] if drawn else []
+    literal = F.array(*[F.struct(F.lit(b[0]).alias("k0"), F.lit(b[1]).cast("long").alias("k1"), F.lit(b[2]).cast("long").alias("k2"),
+                                 F.lit(b[3]).cast("long").alias("k3")) for b in bounds])
+    bucket = F.size(F.filter(literal, lambda b: b <= F.col("key"))) if bounds else F.lit(0)
+    dealt = base.select("doc_id", "t", key.alias("key")).withColumn("bucket", bucket).repartition(parts, "bucket")
+    inside = Window.partitionBy("bucket").orderBy("key")
+    rows = dealt.select("doc_id", "t", "bucket", F.lead("t").over(inside).alias("next_t"), F.row_number().over(inside).alias("rank"))
+    firsts = rows.where("rank = 1").select("bucket", F.col("t").alias("first_t"))
+    after = Window.orderBy("bucket")
+    following = firsts.select("bucket").select(
+        "bucket", F.coalesce(F.lead("bucket").over(after), F.first("bucket").over(after.rowsBetween(Window.unboundedPreceding, 0))).alias("to"))
+    ends = rows.where(F.col("next_t").isNull()).join(following, "bucket").join(
+        firsts.withColumnRenamed("bucket", "to"), "to").select("doc_id", "t", F.col("first_t").alias("next_t"))
     return rows.where(F.col("next_t").isNotNull()).select("doc_id", "t", "next_t").unionByName(ends)
 
 
