@@ -109,13 +109,57 @@ def only_reads(spark: SparkSession, statement: str) -> bool:
     return True
 
 
+_REFLECTION = {"CallMethodViaReflection", "TryReflect"}  # functions that call any JVM method
+_LEAVES = {"LocalRelation", "OneRowRelation", "Range", "CTERelationRef"}  # leaves that read nothing stored
+
+
+def foreign_reads(spark: SparkSession, plan) -> str | None:
+    """What in an analysed plan goes beyond the registered temporary views: a stored table or path, or a call by
+    reflection (``reflect``, ``java_method``, ``try_reflect``); None when nothing does. Views are not looked into."""
+    views = {t.name for t in spark.catalog.listTables() if t.isTemporary}
+    subquery = spark._jvm.java.lang.Class.forName("org.apache.spark.sql.catalyst.expressions.SubqueryExpression")
+    plans = [plan]
+    while plans:
+        node = plans.pop()
+        name = node.getClass().getSimpleName()
+        if name == "View":
+            ident = node.desc().identifier()
+            if node.isTempView() and ident.table() in views:
+                continue
+            return f"reads {ident.unquotedString()}: only registered views are read"
+        expressions = _seq(node.expressions())
+        while expressions:
+            e = expressions.pop()
+            if e.getClass().getSimpleName() in _REFLECTION:
+                return "calls by reflection are refused"
+            if subquery.isInstance(e):
+                plans.append(e.plan())
+            expressions += _seq(e.children())
+        children = _seq(node.children())
+        if not children and name not in _LEAVES:
+            return f"reads {name}: only registered views are read"
+        plans += children + _seq(node.innerChildren())
+    return None
+
+
 def bounded_sql(spark: SparkSession, text: str, limit: int = 50) -> tuple[DataFrame | None, str | None]:
-    """Run one read statement over the registered views: ``(first rows, None)`` or ``(None, error text)``."""
+    """Run one read statement over the registered views: ``(first rows, None)`` or ``(None, error text)``.
+
+    The parsed text must hold no command, insert or script (``only_reads``); then the analysed plan, before anything
+    runs, may read only registered temporary views and call nothing by reflection (``foreign_reads``).
+    """
     statement = text.strip().rstrip(";")
     try:
         if not only_reads(spark, statement):
             return None, "only read statements are run"
-        return spark.sql(statement).limit(limit), None
+        top = spark._jsparkSession.sessionState().sqlParser().parsePlan(statement)
+        if top.getClass().getSimpleName().startswith(_LISTING):
+            return spark.sql(statement).limit(limit), None
+        found = spark.sql(statement)
+        refused = foreign_reads(spark, found._jdf.queryExecution().analyzed())
+        if refused:
+            return None, refused
+        return found.limit(limit), None
     except (AnalysisException, ParseException) as error:
         return None, str(error)
 

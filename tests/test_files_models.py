@@ -191,3 +191,19 @@ def test_no_join_without_keys(spark):
     for name in ("signal_backtest", "hist_by_class", "standard_scale", "latest_cross_section", "kde_by_class", "mean_offdiag_similarity"):
         text = plan(entry.queries()[name](spark, FOLDER))
         assert "CartesianProduct" not in text and "NestedLoopJoin" not in text, name
+
+
+def test_reflection_and_paths_are_refused(spark, tmp_path):
+    spark.range(100).createOrReplaceTempView("numbers")
+    secret = tmp_path / "secret.txt"
+    secret.write_text("not for you")
+    for text in ("SELECT reflect('java.lang.System', 'setProperty', 'loomwork.probe', '1')",
+                 "SELECT java_method('java.lang.System', 'setProperty', 'loomwork.probe', '1') FROM numbers",
+                 "SELECT try_reflect('java.lang.System', 'setProperty', 'loomwork.probe', '1')",
+                 "SELECT id FROM numbers WHERE id IN (SELECT reflect('java.lang.System', 'setProperty', 'loomwork.probe', '1'))",
+                 f"SELECT * FROM text.`{secret}`", f"WITH x AS (SELECT * FROM parquet.`{tmp_path}`) SELECT * FROM x"):
+        rows, error = shop.bounded_sql(spark, text)
+        assert rows is None and error, text
+    assert spark.sparkContext._jvm.java.lang.System.getProperty("loomwork.probe") is None
+    rows, error = shop.bounded_sql(spark, "SELECT n.id FROM numbers n JOIN numbers m ON n.id = m.id + 1 WHERE n.id IN (SELECT max(id) FROM numbers)")
+    assert error is None and rows.count() == 1
