@@ -85,8 +85,12 @@ def brand_prices(spark, folder):
     return stored, [r["asset"] for r in stored.select("asset").distinct().orderBy("asset").collect()]
 
 
-@register("long_to_wide", f"""SELECT * FROM (PIVOT (WITH {PX25} SELECT date, asset, round(close, 6) + 0.0 AS close FROM px)
-ON asset USING max(close) GROUP BY date)""")
+# The 25 brand names of the part table, Brand#1 to Brand#25, named so that the SQL can be stored as a view.
+BRANDS = [f"Brand#{i}" for i in range(1, 26)]
+
+
+@register("long_to_wide", f"""WITH {PX25}
+SELECT date, {", ".join(f"max(round(close, 6) + 0.0) FILTER (asset = '{b}') AS \"{b}\"" for b in BRANDS)} FROM px GROUP BY date""")
 def _(spark, folder):
     return pn.long_to_wide(*brand_prices(spark, folder))
 

@@ -187,3 +187,12 @@ def test_diff_and_missing(spark):
     b = spark.createDataFrame([("x", 1.0), ("z", 3.0)], "metric string, value double")
     assert {r["metric"] for r in gates.metric_diff(a, b).collect()} == {"y", "z"}
     assert [r["metric"] for r in gates.missing_required_metrics(a, b.select("metric")).collect()] == ["z"]
+
+
+def test_long_to_wide_takes_every_given_name(spark):
+    from loomwork.operators import panel as pn
+
+    rows = [("2020-01-01", "Brand#1", 1.0), ("2020-01-01", "Brand#99", 2.0), ("2020-01-02", "Brand#99", 3.0)]
+    df = spark.createDataFrame(rows, "date string, asset string, close double")
+    wide = pn.long_to_wide(df, ["Brand#1", "Brand#99", "Brand#7"]).orderBy("date").collect()
+    assert [tuple(r) for r in wide] == [("2020-01-01", 1.0, 2.0, None), ("2020-01-02", None, 3.0, None)]
