@@ -77,33 +77,36 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bucke
 
     Ties of doc_id are ordered by a hash of the text and the row's place in the scan, so a hot id is split over
     buckets too. Bucket bounds are placed on a bounded sample of the sort keys (``SAMPLE_PER_BUCKET`` a bucket); every
-    row finds its bucket by its key, map-side, and the texts are dealt by bucket in a single shuffle. The successor
-    inside a bucket is ``lead`` over that same partitioning (no second shuffle); only the last row of each bucket looks
-    up the first row of the next non-empty bucket (one row per bucket).
+    row finds its bucket by its key, map-side, and the texts are dealt by bucket in the only shuffle of texts. The
+    successor inside a bucket is ``lead`` over that partitioning. The last row of a bucket takes the first row of the
+    next non-empty bucket: those first rows (one a bucket) are found by an aggregate of keys and a filtered scan, and
+    broadcast.
     """
     spark = docs.sparkSession
     parts = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     base = base.select("doc_id", "t", F.xxhash64("t").alias("h"), F.monotonically_increasing_id().alias("place"))
-    key = order_key(F.col("doc_id"), F.col("h"), F.col("place"))
-    keys = base.select(key.alias("key"))
+    base = base.select("doc_id", "t", "place", order_key(F.col("doc_id"), F.col("h"), F.col("place")).alias("key"))
+    keys = base.select("key")
     total = keys.count()
     fraction = min(1.0, SAMPLE_PER_BUCKET * parts / max(total, 1))
     drawn = sorted(tuple(r["key"]) for r in keys.sample(fraction=fraction, seed=13).collect())
     bounds = [drawn[len(drawn) * i // parts] for i in range(1, parts)] if drawn else []
     literal = F.array(*[F.struct(F.lit(b[0]).alias("k0"), F.lit(b[1]).cast("long").alias("k1"), F.lit(b[2]).cast("long").alias("k2"),
                                  F.lit(b[3]).cast("long").alias("k3")) for b in bounds])
-    bucket = F.size(F.filter(literal, lambda b: b <= F.col("key"))) if bounds else F.lit(0)
-    dealt = base.select("doc_id", "t", key.alias("key")).withColumn("bucket", bucket).repartition(parts, "bucket")
+    placed = base.withColumn("bucket", F.size(F.filter(literal, lambda b: b <= F.col("key"))) if bounds else F.lit(0))
+    # first row of every non-empty bucket: keys only, one row a bucket, then its text by a filtered scan
+    heads = sorted((r["bucket"], tuple(r["first"])) for r in placed.groupBy("bucket").agg(F.min("key").alias("first")).collect())
+    if not heads:
+        return base.select("doc_id", "t", F.lit(None).cast("string").alias("next_t")).limit(0)
+    following = {heads[i][0]: heads[(i + 1) % len(heads)][1][3] for i in range(len(heads))}
+    wanted = sorted(set(following.values()))
+    texts = {r["place"]: r["t"] for r in placed.where(F.col("place").isin(wanted)).select("place", "t").collect()}
+    firsts = spark.createDataFrame([(b, texts[p]) for b, p in following.items()], "bucket int, first_t string")
+    dealt = placed.select("doc_id", "t", "key", "bucket").repartition(parts, "bucket")
     inside = Window.partitionBy("bucket").orderBy("key")
-    rows = dealt.select("doc_id", "t", "bucket", F.lead("t").over(inside).alias("next_t"), F.row_number().over(inside).alias("rank"))
-    firsts = rows.where("rank = 1").select("bucket", F.col("t").alias("first_t"))
-    after = Window.orderBy("bucket")
-    following = firsts.select("bucket").select(
-        "bucket", F.coalesce(F.lead("bucket").over(after), F.first("bucket").over(after.rowsBetween(Window.unboundedPreceding, 0))).alias("to"))
-    ends = rows.where(F.col("next_t").isNull()).join(following, "bucket").join(
-        firsts.withColumnRenamed("bucket", "to"), "to").select("doc_id", "t", F.col("first_t").alias("next_t"))
-    return rows.where(F.col("next_t").isNotNull()).select("doc_id", "t", "next_t").unionByName(ends)
+    rows = dealt.select("doc_id", "t", "bucket", F.lead("t").over(inside).alias("lead_t"))
+    return rows.join(F.broadcast(firsts), "bucket", "left").select("doc_id", "t", F.coalesce("lead_t", "first_t").alias("next_t"))
 
 
 def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K, s: int = S) -> DataFrame:
