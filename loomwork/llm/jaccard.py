@@ -276,19 +276,43 @@ def links(docs: DataFrame, clusters: DataFrame, width: int, percent: int) -> Dat
     return cells.groupBy("root", "a", "b").applyInPandas(cell, f"u {kind}, v {kind}")
 
 
+def marked_texts(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, text, same): rows with a doc_id and the hash of their set; texts stay in their partitions."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            same = []
+            for text in batch.column(1).to_pylist():
+                elements = shingles(text, width)
+                same.append(xxhash.xxh3_128_digest(elements.tobytes()) if len(elements) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.binary())], names=["doc_id", "text", "same"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()).mapInArrow(run, f"doc_id {kind}, text string, same binary")
+
+
 def similar_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs``: components of sets with Jaccard >= ``percent`` / 100."""
+    """(doc_id, n_shingles, component_id) for every row of ``docs``: components of sets with Jaccard >= ``percent`` / 100.
+
+    Vertices of the search are classes (distinct sets), each with a key of its own; the text of a class is taken from
+    its row with the smallest id, chosen by (set, id), so a second text under a repeated id is a class like any other.
+    Classes that share a ``doc_id`` are joined by an edge (rows that share an id are one vertex). A component's id is the
+    smallest ``doc_id`` among its rows; every row of an id takes that id's component.
+    """
     spark = docs.sparkSession
     path = fresh_path(spark, "shingles")
     shingle_sets(docs, width).write.parquet(path)
     stored = spark.read.parquet(path)
-    classes = cut_lineage(stored.where("size > 0 AND doc_id IS NOT NULL").groupBy("same").agg(F.min("doc_id").alias("id"), F.max("size").alias("size")))
+    classes = cut_lineage(stored.where("size > 0 AND doc_id IS NOT NULL").groupBy("same").agg(
+        F.min("doc_id").alias("least"), F.max("size").alias("size")).withColumn("id", F.monotonically_increasing_id()))
     counts = classes.groupBy(F.least("size", F.lit(128)).alias("size")).agg(F.count("*").alias("sets"), F.sum("size").alias("elements")).collect()
     limit = boundary([(r["size"], r["sets"]) for r in counts], percent) if counts else 1
     parts = max(16, math.ceil(sum(r["elements"] for r in counts) / PART_ELEMENTS))
-    # only the heads of classes go on; the copies are taken out of the texts, as they are fewer than the heads
-    copies = stored.join(classes, "same").where(F.col("doc_id") != F.col("id")).select(F.col("doc_id").alias("_copy"))
-    heads = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()).join(sized(copies), F.col("doc_id") == F.col("_copy"), "left_anti")
+    # one text a class: its row with the smallest id, picked by (set, id), so copies of a large class spread by id
+    picks = classes.select(F.col("same").alias("_same"), F.col("least").alias("_least"), F.col("id").alias("_key"))
+    marked = marked_texts(docs, width)
+    heads = marked.join(picks, (F.col("same") == F.col("_same")) & (F.col("doc_id") == F.col("_least"))).select(
+        F.col("_key").alias("doc_id"), "text").dropDuplicates(["doc_id"])
     reach = -(-limit * percent // 100)
     sent = sent_elements(heads, width, reach, parts)
     heavy = heavy_lists(shared_elements(sent, parts), classes.where(F.col("size") >= reach), percent, parts)
@@ -298,11 +322,17 @@ def similar_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     lists = entries.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where(F.col("first") < F.col("last"))
     shared = lists.select(F.col("key").alias("_key"), "first")
     stars = entries.join(shared, F.col("key") == F.col("_key")).where(F.col("id") != F.col("first")).select(F.col("id").alias("u"), F.col("first").alias("v"))
-    clusters = cut_lineage(components(stars).join(classes, "id"))
-    found = components(links(heads, clusters, width, percent))
-    roots = classes.select("same", F.col("id").alias("_class")).join(found.withColumnRenamed("id", "_id"), F.col("_class") == F.col("_id"), "left").select(
-        F.col("same").alias("_same"), F.coalesce("root", "_class").alias("_component"))
-    return stored.join(roots, F.col("same") == F.col("_same"), "left").select(
+    clusters = cut_lineage(components(stars).join(classes.select("id", "size"), "id"))
+    # rows of one id hold one or more classes: those classes are one vertex
+    owned = cut_lineage(stored.where("size > 0 AND doc_id IS NOT NULL").select("doc_id", "same").distinct().join(
+        classes.select("same", "id", "least"), "same"))
+    firsts = owned.groupBy("doc_id").agg(F.min("id").alias("_first"))
+    together = owned.join(firsts, "doc_id").where(F.col("id") != F.col("_first")).select(F.col("id").alias("u"), F.col("_first").alias("v"))
+    found = components(links(heads, clusters, width, percent).unionByName(together))
+    rooted = owned.join(found, "id", "left").select("doc_id", F.coalesce("root", "id").alias("root"), "least")
+    least = rooted.groupBy("root").agg(F.min("least").alias("_component"))
+    per_id = rooted.join(least, "root").groupBy(F.col("doc_id").alias("_id")).agg(F.min("_component").alias("_component"))
+    return stored.join(per_id, F.col("doc_id") == F.col("_id"), "left").select(
         "doc_id", F.col("size").alias("n_shingles"), F.coalesce("_component", "doc_id").alias("component_id"))
 
 

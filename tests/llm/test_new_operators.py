@@ -199,3 +199,35 @@ def test_syncmers_are_closed_and_context_free(spark):
 def test_fingerprints_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert fingerprints.fingerprint_documents(df).count() == 0
+
+
+# --- n-gram Jaccard join with repeated ids ---------------------------------------------------------------------------
+
+
+def test_jaccard_keeps_links_of_repeated_ids(spark):
+    from loomwork.llm import jaccard
+
+    words = " ".join(f"w{i}" for i in range(60))
+    a = "alpha beta gamma delta epsilon zeta eta theta"
+    rows = [(1, a), (5, a), (5, words), (7, words + " extra"), (9, None), (9, words.replace("w1 ", "w1x ")), (3, "lonely text here only"),
+            (12, "x y"), (12, "x y"), (20, "p q r s t u v w"), (40, "p q r s t u v w")]
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.similar_components(
+        spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, _gone string")).collect()}
+
+    def sets(text):
+        w = (text or "").lower().split()
+        return set() if not w else ({" ".join(w)} if len(w) < 3 else {" ".join(w[i:i + 3]) for i in range(len(w) - 2)})
+
+    parent = {d: d for d, _ in rows}  # keyed by id: rows of one id are one vertex
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for (d1, t1), (d2, t2) in [(p, q) for i, p in enumerate(rows) for q in rows[i + 1:]]:
+        s1, s2 = sets(t1), sets(t2)
+        if d1 != d2 and s1 and s2 and 100 * len(s1 & s2) >= 90 * len(s1 | s2):
+            parent[max(find(d1), find(d2))] = min(find(d1), find(d2))
+    want = {(d, len(sets(t)), find(d)) for d, t in rows}
+    assert got == want
