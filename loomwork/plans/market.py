@@ -188,8 +188,14 @@ def _(spark, folder):
 
 @register("upsert_bars", select_sql(_slices_sql(), "merged", "date asset", "close"))
 def _(spark, folder):
+    """The first slice stored by month; the second merged into the months it touches."""
+    from loomwork.session import fresh_path
+    from loomwork.sources.files import upsert_months, write_month_partitions
+
     old, new = _slices(spark, folder)
-    return pn.upsert(old, new)
+    path = fresh_path(spark, "bars")
+    write_month_partitions(old, path)
+    return upsert_months(spark, path, new).drop("ym")
 
 
 @register("latest_cross_section", select_sql(FEAT, "feats", "date asset", FEATURE_COLS, tail="WHERE date = (SELECT max(date) FROM feats)"))

@@ -59,12 +59,34 @@ def price_table(bars: DataFrame, path: str) -> None:
     write_month_partitions(keep_last(typed, ["date", "ticker"], rest), path)
 
 
-def write_month_partitions(panel: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_month_partitions(panel: DataFrame, path: str, mode: str = "overwrite", only_touched: bool = False) -> None:
     """One folder per month (``ym=yyyyMM``).
 
-    AQE's rebalance gathers a month's rows in few files and splits a month that is too large for one task.
+    AQE's rebalance gathers a month's rows in few files and splits a month that is too large for one task. With
+    ``only_touched`` an overwrite replaces only the months that ``panel`` holds (dynamic partition overwrite).
     """
-    panel.withColumn("ym", F.date_format("date", "yyyyMM")).hint("rebalance", "ym").write.mode(mode).partitionBy("ym").parquet(path)
+    writer = panel.withColumn("ym", F.date_format("date", "yyyyMM")).hint("rebalance", "ym").write.mode(mode).partitionBy("ym")
+    if only_touched:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
+
+
+def upsert_months(spark: SparkSession, path: str, incoming: DataFrame, keys: tuple[str, ...] = ("date", "asset")) -> DataFrame:
+    """Merge ``incoming`` bars into the month folders at ``path``; returns the stored panel.
+
+    Only the months the batch touches are read, merged (incoming rows win on equal keys) and written back, by dynamic
+    partition overwrite; other months keep their files. The merge is staged in the shared folder first, as a month can't
+    be read and overwritten by one job. Running the same batch again gives the same folders.
+    """
+    from loomwork.operators.panel import upsert
+    from loomwork.session import fresh_path
+
+    months = [r["ym"] for r in incoming.select(F.date_format("date", "yyyyMM").alias("ym")).distinct().collect()]  # one row a month
+    current = spark.read.parquet(path).where(F.col("ym").cast("string").isin(months)).drop("ym")
+    staged = fresh_path(spark, "upsert")
+    upsert(current, incoming.select(*current.columns), keys).write.parquet(staged)
+    write_month_partitions(spark.read.parquet(staged), path, only_touched=True)
+    return spark.read.parquet(path)
 
 
 def read_monthly_panel(spark: SparkSession, paths: str, keys: tuple[str, ...] = ("date", "asset")) -> DataFrame:

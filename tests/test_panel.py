@@ -196,3 +196,25 @@ def test_long_to_wide_takes_every_given_name(spark):
     df = spark.createDataFrame(rows, "date string, asset string, close double")
     wide = pn.long_to_wide(df, ["Brand#1", "Brand#99", "Brand#7"]).orderBy("date").collect()
     assert [tuple(r) for r in wide] == [("2020-01-01", 1.0, 2.0, None), ("2020-01-02", None, 3.0, None)]
+
+
+def test_upsert_rewrites_only_touched_months(spark, tmp_path):
+    import os
+
+    from loomwork.sources.files import upsert_months, write_month_partitions
+
+    old = spark.createDataFrame([("2020-01-05", "a", 1.0), ("2020-02-05", "a", 2.0), ("2020-03-05", "a", 3.0)], "date string, asset string, close double")
+    old = old.withColumn("date", F.to_date("date"))
+    new = spark.createDataFrame([("2020-02-05", "a", 20.0), ("2020-02-06", "a", 21.0)], "date string, asset string, close double").withColumn("date", F.to_date("date"))
+    path = str(tmp_path / "bars")
+    write_month_partitions(old, path)
+
+    def files(month):
+        folder = f"{path}/ym={month}"
+        return sorted((f, os.stat(f"{folder}/{f}").st_mtime_ns) for f in os.listdir(folder) if f.endswith(".parquet"))
+
+    jan, mar = files("202001"), files("202003")
+    for _ in range(2):  # the same batch twice gives the same table
+        got = sorted((str(r["date"]), r["close"]) for r in upsert_months(spark, path, new).collect())
+        assert got == [("2020-01-05", 1.0), ("2020-02-05", 20.0), ("2020-02-06", 21.0), ("2020-03-05", 3.0)]
+    assert files("202001") == jan and files("202003") == mar
