@@ -68,12 +68,17 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 SMALL_ROWS = 100_000
+SMALL_BYTES = 64 << 20
 
 
-def sized(summary: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """A summary to be joined to many rows: stored once, counted, and broadcast only when it is small.
+def sized(summary: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_BYTES) -> DataFrame:
+    """A summary to be joined to many rows: stored once, measured, and broadcast only when it is small in rows and in
+    bytes (its rows as JSON text, a bound above the size in memory for all but very short values).
 
     A larger one is joined by key, where adaptive execution splits hot keys.
     """
     stored = cut_lineage(summary)
-    return F.broadcast(stored) if stored.count() <= rows else stored
+    if not stored.columns:
+        return stored
+    found = stored.agg(F.count("*").alias("n"), F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in stored.columns])))).alias("b")).first()
+    return F.broadcast(stored) if found["n"] <= rows and (found["b"] or 0) <= size else stored

@@ -125,3 +125,12 @@ def test_kde_of_several_columns_equals_full_sums(spark):
                 want = np.exp(-0.5 * ((gx - x) / h) ** 2).sum() / np.sqrt(2 * np.pi) / (n * h)
                 assert got[(col, c, p)][0] == pytest.approx(gx, rel=1e-12, abs=1e-12)
                 assert got[(col, c, p)][1] == pytest.approx(want, rel=1e-9, abs=1e-15)
+
+
+def test_sized_bounds_bytes_as_well_as_rows(spark):
+    from loomwork.session import sized
+
+    narrow = sized(spark.range(10))
+    wide = sized(spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("pad")), size=5_000)
+    assert "broadcast" in narrow._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in wide._jdf.queryExecution().logical().toString().lower()
