@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from loomwork.operators.blocks import by_block_pair
 from loomwork.operators.features import by_asset, pct_change
+from loomwork.session import sized
 
 # The eleven sector names, in the order the hash picks from.
 SECTORS = [
@@ -146,32 +147,44 @@ def _pairs(left, right, same):
                 yield i, j, min(a, b), max(a, b)
 
 
-def cov_ridge(returns: DataFrame, ridge: float = 1e-6, block: int = 128) -> DataFrame:
+SPAN_DAYS = 366  # calendar days of returns one group of cov_ridge holds
+
+
+def cov_ridge(returns: DataFrame, ridge: float = 1e-6, block: int = 128, span_days: int = SPAN_DAYS) -> DataFrame:
     """Sample covariance over the dates two assets share, ridge on the diagonal; upper triangle (asset_a ≤ asset_b).
 
-    Pairs sharing fewer than two dates get 0; a panel of fewer than two dates gives the identity.
+    Pairs sharing fewer than two dates get 0; a panel of fewer than two dates gives the identity. A group is a pair of
+    asset blocks and one span of ``span_days`` days: it gives, per asset pair, masked cross-product sums of the returns
+    less each asset's mean (dates where one of the two is missing count for neither), and the sums of all spans are
+    added up by pair. No group holds more than two blocks of one span, however long the history.
     """
     n_dates = returns.agg(F.count_distinct("date").alias("n")).scalar()
+    means = sized(returns.groupBy("asset").agg(F.avg("ret").alias("_mean")))
+    centred = returns.select("date", "asset", "ret").join(means, "asset").select(
+        "date", "asset", (F.col("ret") - F.col("_mean")).alias("ret"), F.floor(F.unix_date(F.col("date").cast("date")) / span_days).alias("_span"))
 
-    def cov(group: pd.DataFrame) -> pd.DataFrame:
+    def sums(group: pd.DataFrame) -> pd.DataFrame:
         _, x, left, y, right, same = _two_sides(group)
+        empty = pd.DataFrame({"asset_a": _NO_NAMES, "asset_b": _NO_NAMES, "n": _NO_NUMBERS, "sx": _NO_NUMBERS, "sy": _NO_NUMBERS, "sxy": _NO_NUMBERS})
         if not left or not right:
-            return pd.DataFrame({"asset_a": _NO_NAMES, "asset_b": _NO_NAMES, "cov": _NO_NUMBERS})
-        x, y = x - np.nanmean(x, axis=0), y - np.nanmean(y, axis=0)
+            return empty
         mx, my = ~np.isnan(x), ~np.isnan(y)
         x0, y0 = np.where(mx, x, 0.0), np.where(my, y, 0.0)
-        n = mx.T.astype(float) @ my
-        with np.errstate(divide="ignore", invalid="ignore"):
-            c = (x0.T @ y0 - (x0.T @ my) * (mx.T @ y0) / n) / (n - 1)
-        c = np.where(n > 1, c, 0.0)
-        rows = [(a, b, c[i, j]) for i, j, a, b in _pairs(left, right, same)]
-        names = [np.array([r[k] for r in rows], dtype=object) for k in (0, 1)]
-        return pd.DataFrame({"asset_a": names[0], "asset_b": names[1], "cov": np.array([r[2] for r in rows], dtype=float)})
-
-    pairs = by_block_pair(returns.select("date", "asset", "ret"), "asset", block).groupBy("bi", "bj").applyInPandas(cov, "asset_a string, asset_b string, cov double")
+        n, sx, sy, sxy = mx.T.astype(float) @ my, x0.T @ my, mx.T @ y0, x0.T @ y0
+        picks = list(_pairs(left, right, same))
+        if not picks:
+            return empty
+        i, j = np.array([p[0] for p in picks]), np.array([p[1] for p in picks])
+        return pd.DataFrame({"asset_a": np.array([p[2] for p in picks], dtype=object), "asset_b": np.array([p[3] for p in picks], dtype=object),
+                             "n": n[i, j], "sx": sx[i, j], "sy": sy[i, j], "sxy": sxy[i, j]})
+
+    parts = by_block_pair(centred, "asset", block).groupBy("bi", "bj", "_span").applyInPandas(
+        sums, "asset_a string, asset_b string, n double, sx double, sy double, sxy double")
+    totals = parts.groupBy("asset_a", "asset_b").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxy")])
+    cov = F.when(F.col("n") > 1, (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")) / (F.col("n") - 1)).otherwise(F.lit(0.0))
     same = (F.col("asset_a") == F.col("asset_b")).cast("double")
-    return pairs.withColumn("_n", n_dates).select(
-        "asset_a", "asset_b", F.when(F.col("_n") < 2, same).otherwise(F.col("cov") + same * ridge).alias("cov")
+    return totals.withColumn("_n", n_dates).select(
+        "asset_a", "asset_b", F.when(F.col("_n") < 2, same).otherwise(cov + same * ridge).alias("cov")
     )
 
 

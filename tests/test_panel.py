@@ -115,13 +115,14 @@ def test_sector_is_the_hash_of_the_name(spark):
     assert got == {n: pf.SECTORS[int(hashlib.sha1(n.encode()).hexdigest(), 16) % 11] for n in names}
 
 
-@pytest.mark.parametrize("block", [2, 100])
-def test_covariance_blocks(spark, block):
+@pytest.mark.parametrize("block,span", [(2, 366), (100, 366), (2, 7), (100, 1)])
+def test_covariance_blocks(spark, block, span):
+    """Pairwise-complete covariance against pandas, with one or many asset blocks and date spans."""
     rng = np.random.default_rng(2)
     wide = pd.DataFrame(rng.normal(0, 0.02, (90, 5)), columns=list("abcde"), index=[day(i) for i in range(90)])
     holes = wide.mask(rng.random(wide.shape) < 0.2)
     long = lambda w: w.rename_axis("date").reset_index().melt("date", var_name="asset", value_name="ret").dropna()
-    got = pf.cov_ridge(spark.createDataFrame(long(holes)).withColumn("date", F.to_date("date")), 1e-6, block).toPandas()
+    got = pf.cov_ridge(spark.createDataFrame(long(holes)).withColumn("date", F.to_date("date")), 1e-6, block, span).toPandas()
     want = holes.cov()
     assert len(got) == 15
     for r in got.itertuples():
