@@ -71,9 +71,10 @@ def order_key(doc_id: Column, h: Column, place: Column) -> Column:
                     h.cast("long").alias("k2"), place.cast("long").alias("k3"))
 
 
-def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
+def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None, carry=None) -> DataFrame:
     """(doc_id, t, next_t): every row and the text of the row after it in ascending doc_id (nulls last), the last one
-    followed by the first.
+    followed by the first. ``carry`` maps names to functions of the text; each is computed once a row, before the
+    shuffle, and comes as ``name`` and ``next_name``.
 
     Ties of doc_id are ordered by a hash of the text and the row's place in the scan, so a hot id is split over
     buckets too. Bucket bounds are placed on a bounded sample of the sort keys (``SAMPLE_PER_BUCKET`` a bucket); every
@@ -97,29 +98,37 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bucke
     placed = base.withColumn("bucket", F.size(F.filter(literal, lambda b: b <= F.col("key"))) if bounds else F.lit(0))
     # first row of every non-empty bucket: keys only, one row a bucket, then its text by a filtered scan
     heads = sorted((r["bucket"], tuple(r["first"])) for r in placed.groupBy("bucket").agg(F.min("key").alias("first")).collect())
+    carry = carry or {}
     if not heads:
-        return base.select("doc_id", "t", F.lit(None).cast("string").alias("next_t")).limit(0)
+        made = [c for name, fn in carry.items() for c in (fn(F.col("t")).alias(name), fn(F.col("t")).alias(f"next_{name}"))]
+        return base.select("doc_id", "t", F.col("t").alias("next_t"), *made).limit(0)
     following = {heads[i][0]: heads[(i + 1) % len(heads)][1][3] for i in range(len(heads))}
     wanted = sorted(set(following.values()))
     texts = {r["place"]: r["t"] for r in placed.where(F.col("place").isin(wanted)).select("place", "t").collect()}
     firsts = spark.createDataFrame([(b, texts[p]) for b, p in following.items()], "bucket int, first_t string")
-    dealt = placed.select("doc_id", "t", "key", "bucket").repartition(parts, "bucket")
+    firsts = firsts.select("bucket", "first_t", *[fn(F.col("first_t")).alias(f"first_{name}") for name, fn in carry.items()])
+    dealt = placed.select("doc_id", "t", "key", "bucket", *[fn(F.col("t")).alias(name) for name, fn in carry.items()]).repartition(parts, "bucket")
     inside = Window.partitionBy("bucket").orderBy("key")
-    rows = dealt.select("doc_id", "t", "bucket", F.lead("t").over(inside).alias("lead_t"))
-    return rows.join(F.broadcast(firsts), "bucket", "left").select("doc_id", "t", F.coalesce("lead_t", "first_t").alias("next_t"))
+    rows = dealt.select("doc_id", "t", "bucket", *carry, F.lead("t").over(inside).alias("lead_t"),
+                        *[F.lead(name).over(inside).alias(f"lead_{name}") for name in carry])
+    last = F.col("lead_t").isNull()
+    return rows.join(F.broadcast(firsts), "bucket", "left").select(
+        "doc_id", "t", F.when(last, F.col("first_t")).otherwise(F.col("lead_t")).alias("next_t"),
+        *[c for name in carry for c in (F.col(name), F.when(last, F.col(f"first_{name}")).otherwise(F.col(f"lead_{name}")).alias(f"next_{name}"))])
 
 
 def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K, s: int = S) -> DataFrame:
     """Per row: doc_id, n_chars, edited text and its sha256, fingerprints of text and edited text, near_edited and
     near_next (likeness to the edited text's and to the next document's fingerprint)."""
-    paired = with_next(docs, doc_id, text)
+    paired = with_next(docs, doc_id, text, carry={"own": lambda t: anchors(t, k, s)})
     edited = paired.select(
-        "doc_id", "t", "next_t",
+        "doc_id", "t", "next_t", "own", "next_own",
         F.expr("concat(substring(t, 1, char_length(t) - char_length(t) DIV 4), substring(next_t, 1, char_length(t) DIV 4))").alias("edited"))
-    summary = bound(anchors(F.col("t"), k, s), lambda own: bound(anchors(F.col("edited"), k, s), lambda changed: F.struct(
+    own = F.col("own")
+    summary = bound(anchors(F.col("edited"), k, s), lambda changed: F.struct(
         as_text(own).alias("fingerprint"), as_text(changed).alias("edited_fingerprint"),
         likeness(own, changed).cast("double").alias("near_edited"),
-        likeness(own, anchors(F.col("next_t"), k, s)).cast("double").alias("near_next"))))
+        likeness(own, F.col("next_own")).cast("double").alias("near_next")))
     marked = edited.select("doc_id", "t", "edited", summary.alias("f"))
     return marked.select(
         "doc_id", F.char_length("t").cast("long").alias("n_chars"), "edited", F.sha2("edited", 256).alias("edited_sha256"),
