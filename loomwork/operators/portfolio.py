@@ -195,13 +195,31 @@ def complete_dates(returns: DataFrame) -> DataFrame:
     return known.join(full.select("date"), "date", "left_semi")
 
 
-def rolling_cov(returns: DataFrame, rows: int = 60, block: int = 32) -> DataFrame:
-    """Trailing covariance of every asset pair on the dates all assets share; full windows only."""
+SPAN_ROWS = 750  # dates whose windows one group of rolling_cov ends, beside the rows - 1 dates before them
+
+
+def rolling_cov(returns: DataFrame, rows: int = 60, block: int = 32, span_rows: int = SPAN_ROWS) -> DataFrame:
+    """Trailing covariance of every asset pair on the dates all assets share; full windows only.
+
+    The shared dates are numbered (one row a day) and cut into spans of ``span_rows``; a date is also sent, as history,
+    to the later spans whose windows reach back to it (the next one only, when spans are at least ``rows - 1`` long). A group is a pair of asset blocks and one span, and gives the windows
+    that end in its span, so no group holds the whole history.
+    """
+    shared = complete_dates(returns.select("date", "asset", "ret"))
+    numbered = shared.select("date").distinct().select("date", (F.row_number().over(W.orderBy("date")) - 1).alias("_i"))
+    placed = shared.join(sized(numbered), "date")
+    # a date is history for every span whose windows reach back to it
+    reach = F.floor((F.col("_i") + (rows - 1)) / span_rows) - F.floor(F.col("_i") / span_rows)
+    sent = placed.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), reach.cast("long")))).select(
+        "date", "asset", "ret", (F.floor(F.col("_i") / span_rows) + F.col("_copy")).alias("_span"), (F.col("_copy") == 0).alias("_native"))
 
     def roll(group: pd.DataFrame) -> pd.DataFrame:
         dates, x, left, y, right, same = _two_sides(group)
         first, second, values = [], [], []
-        days = np.asarray(dates)[rows - 1:]
+        native = set(group.loc[group["_native"], "date"])
+        ends = np.asarray(dates)[rows - 1:]
+        keep = np.array([d in native for d in ends], dtype=bool)
+        days = ends[keep]
         if len(days) and left and right:
             x, y = x - x.mean(axis=0), y - y.mean(axis=0)
 
@@ -216,7 +234,7 @@ def rolling_cov(returns: DataFrame, rows: int = 60, block: int = 32) -> DataFram
                 for _, j, a, b in _pairs([left[i]], right, same):
                     first.append(a)
                     second.append(b)
-                    values.append(cov[:, j])
+                    values.append(cov[keep, j])
         return pd.DataFrame({
             "date": np.tile(days, len(values)),
             "asset_a": np.repeat(np.array(first, dtype=object), len(days)),
@@ -224,7 +242,7 @@ def rolling_cov(returns: DataFrame, rows: int = 60, block: int = 32) -> DataFram
             "cov": np.concatenate(values) if values else _NO_NUMBERS,
         })
 
-    return by_block_pair(complete_dates(returns.select("date", "asset", "ret")), "asset", block).groupBy("bi", "bj").applyInPandas(
+    return by_block_pair(sent, "asset", block).groupBy("bi", "bj", "_span").applyInPandas(
         roll, "date date, asset_a string, asset_b string, cov double"
     )
 

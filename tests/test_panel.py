@@ -127,8 +127,11 @@ def test_covariance_blocks(spark, block, span):
     assert len(got) == 15
     for r in got.itertuples():
         assert r.cov == pytest.approx(want.loc[r.asset_a, r.asset_b] + (1e-6 if r.asset_a == r.asset_b else 0), abs=1e-12)
-    rolled = pf.rolling_cov(spark.createDataFrame(long(wide)).withColumn("date", F.to_date("date")), 60, block).toPandas()
+    rolled = pf.rolling_cov(spark.createDataFrame(long(wide)).withColumn("date", F.to_date("date")), 60, block, span).toPandas()
     assert len(rolled) == 31 * 15
+    for r in rolled.sample(40, random_state=1).itertuples():
+        window = wide.loc[:r.date].tail(60)
+        assert r.cov == pytest.approx(window[r.asset_a].cov(window[r.asset_b]), abs=1e-12)
     last = rolled[rolled["date"] == day(89)]
     want = wide.tail(60).cov()
     for r in last.itertuples():
