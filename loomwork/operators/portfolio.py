@@ -86,6 +86,25 @@ def portfolio_exposures(weights: DataFrame, exposures: DataFrame) -> DataFrame:
     return weights.join(exposures, "asset").groupBy("date", "factor").agg(F.sum(F.col("loading") * F.col("w")).alias("exposure"))
 
 
+def asof_exposures(weights: DataFrame, loadings: DataFrame) -> DataFrame:
+    """Sum of weight × loading per (date, factor), with loadings given by the caller as ``(date, factor, asset, loading)``.
+
+    Each weight takes, per factor of its asset, the loading of the latest row dated on or before its date; a row
+    without a date holds from the start. Of rows with equal (factor, asset, date) the larger loading counts. A weight
+    with no such row adds nothing; a (date, factor) without any gives null. Loadings and weights meet in one window per
+    (factor, asset), ordered by date: no join over dates.
+    """
+    start = F.lit("0001-01-01").cast("date")
+    rows = loadings.select(F.coalesce(F.col("date").cast("date"), start).alias("date"), "factor", "asset",
+                           F.col("loading").cast("double").alias("loading"), F.lit(0).alias("_kind"), F.lit(None).cast("double").alias("w"))
+    pairs = loadings.select("factor", "asset").distinct()
+    asked = weights.join(pairs, "asset").select(F.col("date").cast("date").alias("date"), "factor", "asset",
+                                                F.lit(None).cast("double").alias("loading"), F.lit(1).alias("_kind"), F.col("w").cast("double").alias("w"))
+    before = W.partitionBy("factor", "asset").orderBy("date", "_kind", "loading").rowsBetween(W.unboundedPreceding, 0)
+    found = rows.unionByName(asked).withColumn("_l", F.last("loading", ignorenulls=True).over(before)).where("_kind = 1")
+    return found.groupBy("date", "factor").agg(F.sum(F.col("w") * F.col("_l")).alias("exposure"))
+
+
 def neutrality_band(exposures: DataFrame, beta_tol: float, sector_tol: float, beta_target: float = 0.0) -> DataFrame:
     """Is each (date, factor) exposure within its band; the market factor has its own target and width."""
     is_market = F.col("factor") == "MKT"

@@ -136,6 +136,26 @@ def _(spark, folder):
     return exposures(spark, folder)
 
 
+ASOF = f"""{WTS},
+ld AS (SELECT DATE '0001-01-01' AS date, {SECTOR_SQL} AS factor, asset, 1.0::DOUBLE AS loading FROM (SELECT DISTINCT asset FROM wts)
+       UNION ALL SELECT date, 'ALPHA', asset, alpha FROM alphas WHERE day(date) = 1),
+pairs AS (SELECT DISTINCT factor, asset FROM ld),
+asked AS (SELECT w.date, p.factor, w.asset, w.w FROM wts w JOIN pairs p USING (asset)),
+took AS (SELECT a.date, a.factor, a.w * l.loading AS part FROM asked a ASOF LEFT JOIN ld l ON a.factor = l.factor AND a.asset = l.asset AND a.date >= l.date),
+asof_expo AS (SELECT date, factor, sum(part) AS exposure FROM took GROUP BY 1, 2)"""
+
+
+@register("asof_exposures", select_sql(ASOF, "asof_expo", "date factor", "exposure"))
+def _(spark, folder):
+    """Exposures to loadings given as a table: sectors without a date, and each asset's alpha on the first day of a month,
+    held until the next one."""
+    w = weights(spark, folder)
+    sectors = w.select("asset").distinct().select(F.lit(None).cast("date").alias("date"), pf.hashed_sector().alias("factor"), "asset",
+                                                   F.lit(1.0).alias("loading"))
+    monthly = alphas(spark, folder).where(F.dayofmonth("date") == 1).select("date", F.lit("ALPHA").alias("factor"), "asset", F.col("alpha").alias("loading"))
+    return pf.asof_exposures(w, sectors.unionByName(monthly))
+
+
 @register("neutrality_band", select_sql(EXPOSE, "bands", "date factor within", "exposure"))
 def _(spark, folder):
     return pf.neutrality_band(exposures(spark, folder), 0.01, 0.03)

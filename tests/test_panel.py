@@ -222,3 +222,14 @@ def test_upsert_rewrites_only_touched_months(spark, tmp_path):
         got = sorted((str(r["date"]), r["close"]) for r in upsert_months(spark, path, new).collect())
         assert got == [("2020-01-05", 1.0), ("2020-02-05", 20.0), ("2020-02-06", 21.0), ("2020-03-05", 3.0)]
     assert files("202001") == jan and files("202003") == mar
+
+
+def test_asof_exposures_take_the_latest_loading(spark):
+    w = spark.createDataFrame([("2020-01-01", "a", 1.0), ("2020-01-05", "a", 1.0), ("2020-01-10", "a", 2.0), ("2020-01-10", "b", 1.0)],
+                              "date string, asset string, w double").withColumn("date", F.to_date("date"))
+    loads = spark.createDataFrame([
+        (None, "S", "a", 1.0), ("2020-01-03", "B", "a", 0.5), ("2020-01-10", "B", "a", 0.7), ("2020-01-10", "B", "a", 0.9), ("2020-01-20", "B", "b", 3.0),
+    ], "date string, factor string, asset string, loading double").withColumn("date", F.to_date("date"))
+    got = {(str(r["date"]), r["factor"]): r["exposure"] for r in pf.asof_exposures(w, loads).collect()}
+    assert got == {("2020-01-01", "S"): 1.0, ("2020-01-05", "S"): 1.0, ("2020-01-10", "S"): 2.0,
+                   ("2020-01-01", "B"): None, ("2020-01-05", "B"): 0.5, ("2020-01-10", "B"): 1.8}
