@@ -129,3 +129,15 @@ def test_cell_neighbours_are_exact(spark):
         want += [(i, r + 1, j) for r, (_, j) in enumerate(order)]
     assert got == sorted(want)
     assert cell_neighbours(df.limit(0), 5).count() == 0
+
+
+def test_the_plan_of_a_deep_tree_stays_small(spark):
+    rng = np.random.default_rng(7)
+    points = rng.random((400, 3))
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id bigint, v array<double>").repartition(2)
+    found = vx.cell_neighbours(df, 2, leaf_rows=4, sample_rows=400)  # seven levels
+    assert len(found._jdf.queryExecution().analyzed().toString()) < 50_000
+    far = ((points[:, None] - points[None]) ** 2).sum(2)
+    np.fill_diagonal(far, np.inf)
+    want = {(q, r + 1): c for q in range(400) for r, c in enumerate(np.argsort(far[q], kind="stable")[:2])}
+    assert {(r["query_id"], r["rank"]): r["cand_id"] for r in found.collect()} == want
