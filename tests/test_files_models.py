@@ -207,3 +207,12 @@ def test_reflection_and_paths_are_refused(spark, tmp_path):
     assert spark.sparkContext._jvm.java.lang.System.getProperty("loomwork.probe") is None
     rows, error = shop.bounded_sql(spark, "SELECT n.id FROM numbers n JOIN numbers m ON n.id = m.id + 1 WHERE n.id IN (SELECT max(id) FROM numbers)")
     assert error is None and rows.count() == 1
+
+
+def test_text_files_are_moved_by_their_tasks(spark, tmp_path):
+    from loomwork.sources.files import read_text_docs, write_text_docs
+
+    docs = spark.createDataFrame([(1, "a b"), (2, "c"), (3, None)], "doc_id bigint, text string")
+    write_text_docs(docs, f"{tmp_path}/t")
+    got = {r["source"].split("doc_id=")[1].split("/")[0]: r["content"] for r in read_text_docs(spark, f"{tmp_path}/t").collect()}
+    assert got == {"1": "a b", "2": "c", "3": ""}

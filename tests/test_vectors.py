@@ -141,3 +141,14 @@ def test_the_plan_of_a_deep_tree_stays_small(spark):
     np.fill_diagonal(far, np.inf)
     want = {(q, r + 1): c for q in range(400) for r, c in enumerate(np.argsort(far[q], kind="stable")[:2])}
     assert {(r["query_id"], r["rank"]): r["cand_id"] for r in found.collect()} == want
+
+
+def test_many_queries_do_not_multiply_the_candidates(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    cands = np.repeat(rng.random((150, 6)), 3, axis=0)  # every vector three times: ties
+    queries = np.vstack([rng.random((40, 6)), np.zeros((2, 6))])
+    monkeypatch.setattr(vx, "QUERY_ROWS", 10)
+    monkeypatch.setattr(vx, "GRID_ROWS", 100)
+    found = vx.nearest(frame(spark, cands, "cand_id").repartition(3), frame(spark, queries, "query_id"), 4)
+    assert "CoGroup" not in found._jdf.queryExecution().analyzed().toString()
+    assert {(r["query_id"], r["rank"]): r["cand_id"] for r in found.collect()} == brute(cands, queries, 4, "ip")
