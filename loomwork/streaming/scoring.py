@@ -15,8 +15,9 @@ from loomwork.operators.transactions import HOUR_S, score_decision, serving_feat
 from loomwork.sources.files import as_documents
 
 _OUT = "id bigint, user_id bigint, velocity_count_1h bigint, velocity_amount_1h double"
-_STATE = "at array<double>, id array<bigint>, amount array<double>, waiting array<boolean>"
-SPAN_HOURS = 2  # a user's state group covers two hours (and the hour before as history)
+_STATE = "user array<bigint>, at array<double>, id array<bigint>, amount array<double>, waiting array<boolean>"
+SPAN_HOURS = 2    # a state group covers two hours (and the hour before as history)
+USER_GROUPS = 32  # … of the users whose hash is equal modulo this
 
 
 def stream_score(stream: DataFrame, stats: DataFrame, scorer: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
@@ -28,11 +29,12 @@ def stream_score(stream: DataFrame, stats: DataFrame, scorer: Callable[[DataFram
 
 
 def _step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One user's span of time. Rows wait until the watermark passes them, then see all earlier rows of their last hour."""
+    """Some users' span of time. Rows wait until the watermark passes them, then see all earlier rows of their user's last hour."""
     mark = state.getCurrentWatermarkMs() / 1000.0
-    at, ident, amount, waiting = (list(x) for x in state.get) if state.exists else ([], [], [], [])
+    user, at, ident, amount, waiting = (list(x) for x in state.get) if state.exists else ([], [], [], [], [])
     for frame in frames:
         frame = frame[frame["at"] >= mark]  # later rows would change counts already given out
+        user += frame["user_id"].astype("int64").tolist()
         at += frame["at"].tolist()
         ident += frame["id"].tolist()
         amount += frame["amount"].tolist()
@@ -41,24 +43,28 @@ def _step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd
         if state.exists:
             state.remove()
         return
-    order = np.lexsort((ident, at))
-    t, i, a, w = np.array(at)[order], np.array(ident)[order], np.array(amount)[order], np.array(waiting, dtype=bool)[order]
+    order = np.lexsort((ident, at, user))
+    u, t, i, a = np.array(user)[order], np.array(at)[order], np.array(ident)[order], np.array(amount)[order]
+    w = np.array(waiting, dtype=bool)[order]
     ready = np.flatnonzero(w & (t < mark))
     if len(ready):
-        first = np.searchsorted(t, t[ready] - HOUR_S, side="left")
-        total = np.concatenate([[0.0], np.cumsum(a)])
+        count, spent = np.zeros(len(u), dtype=np.int64), np.zeros(len(u))
+        starts = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]]))
+        for low, high in zip(starts, np.append(starts[1:], len(u))):  # one user's rows
+            place = np.arange(high - low)
+            first = np.searchsorted(t[low:high], t[low:high] - HOUR_S, side="left")
+            total = np.concatenate([[0.0], np.cumsum(a[low:high])])
+            count[low:high], spent[low:high] = place - first, total[place] - total[first]
         w[ready] = False
-        yield pd.DataFrame({
-            "id": i[ready], "user_id": int(key[0]), "velocity_count_1h": ready - first, "velocity_amount_1h": total[ready] - total[first],
-        })
+        yield pd.DataFrame({"id": i[ready], "user_id": u[ready], "velocity_count_1h": count[ready], "velocity_amount_1h": spent[ready]})
     closes = float(key[2])
     if mark >= closes:  # no row of this span can arrive any more
         if state.exists:
             state.remove()
         return
     keep = w | (t >= mark - HOUR_S)  # older rows are no longer in anybody's last hour
-    t, i, a, w = t[keep], i[keep], a[keep], w[keep]
-    state.update((t.tolist(), i.tolist(), a.tolist(), w.tolist()))
+    u, t, i, a, w = u[keep], t[keep], i[keep], a[keep], w[keep]
+    state.update((u.tolist(), t.tolist(), i.tolist(), a.tolist(), w.tolist()))
     due = t[w].min() if w.any() else closes
     state.setTimeoutTimestamp(max(int(due * 1000), state.getCurrentWatermarkMs() + 1))
 
@@ -66,10 +72,11 @@ def _step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd
 def stream_velocity(events: DataFrame, delay: str = "1 hour", span_hours: int = SPAN_HOURS) -> DataFrame:
     """Count and spend of each user's previous hour over a stream of ``(event_id, ts, user_id, value)``.
 
-    State is kept per user and span of time: the rows still waiting and those of the hour before the watermark. It
+    State is kept per group of users (``USER_GROUPS`` of them by hash, as a group for every user would mostly hold a row
+    or two) and span of time: the rows still waiting and those of the hour before the watermark. It
     is removed once the watermark has passed the span. Rows of a span's last hour are also sent to the next span,
     as history, so a busy user's backlog is spread over one group per span: with spans of two hours a group holds at
-    most three hours of one user, however many events the user has. Rows later than the delay are dropped by the
+    most three hours of its users, however many events they have. Rows later than the delay are dropped by the
     watermark.
     """
     span = span_hours * HOUR_S
@@ -82,7 +89,8 @@ def stream_velocity(events: DataFrame, delay: str = "1 hour", span_hours: int =
         "user_id", (F.col("span") + F.col("copy")).alias("span"), (F.col("until") + F.col("copy") * span).alias("until"),
         "id", "ts", "at", "amount", (F.col("copy") == 0).alias("native"),
     )
-    return sent.groupBy("user_id", "span", "until").applyInPandasWithState(
+    grouped = sent.withColumn("users", F.pmod(F.xxhash64("user_id"), F.lit(USER_GROUPS)))
+    return grouped.groupBy("users", "span", "until").applyInPandasWithState(
         _step, _OUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
 

@@ -139,3 +139,16 @@ def test_ingest_stores_each_batch_once_across_restarts(spark, tmp_path):
     again.write.mode("overwrite").parquet(f"{tmp_path}/copy")
     spark.read.parquet(f"{tmp_path}/copy").write.mode("overwrite").parquet(f"{out}/batch=0")
     assert spark.read.parquet(out).count() == len(rows)
+
+
+def test_velocity_keeps_few_state_groups(spark):
+    from loomwork.streaming.scoring import USER_GROUPS
+
+    rows = [(i, START + dt.timedelta(seconds=i), i, "view", 1.0) for i in range(200)]  # 200 users of one row
+    last = [(999, START + dt.timedelta(minutes=30), 1, "view", 1.0)]
+    events = feed(spark, [rows, last]).select("event_id", "ts", "user_id", "value")
+    writer = stream_velocity(events).writeStream.format("parquet").option("path", fresh_path(spark, "v"))
+    query = writer.option("checkpointLocation", fresh_path(spark, "p")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    held = [s.numRowsTotal for p in query.recentProgress for s in p.stateOperators]
+    assert 0 < max(held) <= USER_GROUPS
