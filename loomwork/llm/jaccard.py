@@ -1,7 +1,8 @@
 """Exact set-similarity join of word shingles: size-aware, light sets by subsets, heavy sets by inverted lists.
 
-A document is its set of distinct word shingles. Documents with equal sets are one class and only the smallest document of
-a class goes on. The similarity bounds how many elements a set may lack in a linked one.
+A document is its set of distinct word shingles. Documents with equal sets are one class, named by a hash of the set that
+every task works out for itself, so texts stay where they are read: a class is sent at most once by each task, and what
+several tasks sent of it counts once. The similarity bounds how many elements a set may lack in a linked one.
 
 * *Light* sets, below the boundary, enumerate their subsets of all sizes a link can leave; two linked light sets share one.
 * *Heavy* sets go into inverted lists. Elements are dealt by hash and counted; those of a single set can't link anything and
@@ -96,38 +97,42 @@ def subset_keys(elements: np.ndarray, percent: int) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
+def set_key(elements: np.ndarray) -> int:
+    """The name of a class: a 64-bit hash of its sorted elements, as a signed number."""
+    value = xxhash.xxh3_64_intdigest(elements.tobytes())
+    return value - (1 << 64) if value >> 63 else value
+
+
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, size, same): size of the set and a 128-bit hash of it."""
+    """(doc_id, size, id): size of the set and the key of its class, null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, same = [], []
-            for text in batch.column(1).to_pylist():
-                elements = shingles(text, width)
-                sizes.append(len(elements))
-                same.append(xxhash.xxh3_128_digest(elements.tobytes()) if len(elements) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(same, pa.binary())], names=["doc_id", "size", "same"])
+            sets = [shingles(text, width) for text in batch.column(1).to_pylist()]
+            sizes, keys = [len(s) for s in sets], [set_key(s) if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())], names=["doc_id", "size", "id"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, size long, same binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, size long, id long")
 
 
 def light_lists(docs: DataFrame, width: int, percent: int, limit: int) -> DataFrame:
-    """(id, key): the subset keys of the light sets of ``docs`` (doc_id, text)."""
+    """(id, key): the subset keys of the light sets of ``docs`` (text); a class may come from several tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
-            index, keys = [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
+            ids, keys = [], []
+            for text in batch.column(0).to_pylist():
                 elements = shingles(text, width)
-                if 0 < len(elements) < limit:
+                if 0 < len(elements) < limit and (key := set_key(elements)) not in seen:
+                    seen.add(key)
                     keys.append(subset_keys(elements, percent))
-                    index.append(np.full(len(keys[-1]), i))
+                    ids.append(np.full(len(keys[-1]), key, np.int64))
             if keys:
-                ids = batch.column(0).take(pa.array(np.concatenate(index)))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(keys).view(np.int64))], names=["id", "key"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(keys).view(np.int64))], names=["id", "key"])
 
-    return docs.mapInArrow(run, f"id {docs.schema['doc_id'].dataType.simpleString()}, key long")
+    return docs.select("text").mapInArrow(run, "id long, key long")
 
 
 def packed(part: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
@@ -145,7 +150,7 @@ def joined(rows: list[bytes], kind) -> np.ndarray:
 
 def sent_elements(docs: DataFrame, width: int, least: int, parts: int) -> DataFrame:
     """(part, keys, who, ids): elements of sets of at least ``least``, dealt by hash. A part's number is the upper half of a
-    key and is not sent; ``who`` counts within ``ids``."""
+    key and is not sent; ``who`` counts within ``ids``, the keys of the classes. A task sends a class once."""
 
     def flush(sets, ids):
         flat = np.concatenate(sets)
@@ -163,13 +168,14 @@ def sent_elements(docs: DataFrame, width: int, least: int, parts: int) -> DataFr
                                           names=["part", "keys", "who", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, ids, held = [], [], 0
+        seen, sets, ids, held = set(), [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text in batch.column(0).to_pylist():
                 elements = shingles(text, width)
-                if len(elements) >= least:
+                if len(elements) >= max(least, 1) and (key := set_key(elements)) not in seen:
+                    seen.add(key)
                     sets.append(elements)
-                    ids.append(doc_id)
+                    ids.append(key)
                     held += len(elements)
                     if held >= FLUSH_ELEMENTS or len(sets) == 65535:
                         yield flush(sets, np.array(ids, np.int64))
@@ -177,18 +183,25 @@ def sent_elements(docs: DataFrame, width: int, least: int, parts: int) -> DataFr
         if sets:
             yield flush(sets, np.array(ids, np.int64))
 
-    return docs.mapInArrow(run, "part int, keys binary, who binary, ids binary")
+    return docs.select("text").mapInArrow(run, "part int, keys binary, who binary, ids binary")
 
 
 def shared_elements(sent: DataFrame, owners: int) -> DataFrame:
-    """(part, ids, keys, counts): entries of the elements that several sets hold, dealt by owner (id modulo ``owners``)."""
+    """(part, ids, keys, counts): entries of the elements that several sets hold, dealt by owner (id modulo ``owners``).
+
+    Every sender of a class sends the same entries of it to a part; those of one sender are taken.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         number = table.column("part")[0].as_py()
-        ids = []
-        for who, own in zip(table.column("who").to_pylist(), table.column("ids").to_pylist()):
-            ids.append(np.frombuffer(own, np.int64)[np.frombuffer(who, np.uint16)])
-        ids, keys = np.concatenate(ids), joined(table.column("keys").to_pylist(), np.uint32)
+        owns = [np.frombuffer(own, np.int64) for own in table.column("ids").to_pylist()]
+        begins = np.cumsum([0, *(len(own) for own in owns)])
+        owner = np.concatenate(owns)
+        first = np.zeros(len(owner), bool)
+        first[np.unique(owner, return_index=True)[1]] = True
+        place = np.concatenate([np.frombuffer(who, np.uint16) + begin for who, begin in zip(table.column("who").to_pylist(), begins)])
+        taken = first[place]
+        ids, keys = owner[place][taken], joined(table.column("keys").to_pylist(), np.uint32)[taken]
         order = np.argsort(keys, kind="stable")
         keys = keys[order]
         starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -249,53 +262,54 @@ def linked_in_cell(ids: np.ndarray, sets: list[np.ndarray], left: np.ndarray, pe
 
 
 def links(docs: DataFrame, clusters: DataFrame, width: int, percent: int) -> DataFrame:
-    """(u, v): links that connect what is linked inside the clusters (id, root, size)."""
+    """(u, v): links that connect what is linked inside the clusters (id, root, size, least).
+
+    A class's elements are those of its rows with id ``least``. The texts are first narrowed to such ids; which of several
+    texts under one id is meant shows once its set is known. Repeated rows are dropped in their task and in the cell.
+    """
     weights = clusters.groupBy("root").agg(F.sum("size").alias("_weight")).withColumnRenamed("root", "_root")
     dealt = clusters.join(weights, F.col("root") == F.col("_root")).select(
-        "id", "root", F.ceil(F.col("_weight") / BLOCK_ELEMENTS).cast("int").alias("blocks")).withColumn(
+        "id", "least", "root", F.ceil(F.col("_weight") / BLOCK_ELEMENTS).cast("int").alias("blocks")).withColumn(
         "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     wanted = sized(dealt)
-    texts = docs.select(F.col("doc_id").alias("_doc"), "text").join(wanted, F.col("_doc") == F.col("id")).select("id", "root", "block", "blocks", "text")
+    texts = docs.select(F.col("doc_id").alias("_doc"), "text").join(wanted, F.col("_doc") == F.col("least"), "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
-            values = [shingles(t, width).tobytes() for t in batch.column(4).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(values, pa.binary())], names=["id", "root", "block", "blocks", "elements"])
+            rows, keys, values = [], [], []
+            for i, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                elements = shingles(text, width)
+                key = set_key(elements)
+                if (doc, key) not in seen:
+                    seen.add((doc, key))
+                    rows.append(i)
+                    keys.append(key)
+                    values.append(elements.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(keys, pa.int64()), pa.array(values, pa.binary())],
+                                             names=["_doc", "_key", "elements"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    filled = texts.mapInArrow(sets, f"id {kind}, root {kind}, block int, blocks int, elements binary")
+    filled = texts.mapInArrow(sets, f"_doc {kind}, _key long, elements binary").join(
+        wanted, (F.col("_key") == F.col("id")) & (F.col("_doc") == F.col("least"))).select("id", "root", "block", "blocks", "elements")
     # block b meets every block c: cell (min, max); in a cell of two blocks only the first one's sets are asked
     cells = filled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "id", "elements", "root", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"),
         (F.col("block") <= F.col("other")).alias("asks"))
 
     def cell(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop_duplicates("id")
         found = linked_in_cell(rows["id"].to_numpy(), [np.frombuffer(e, np.uint64) for e in rows["elements"]], rows["asks"].to_numpy(), percent)
         return pd.DataFrame(found, columns=["u", "v"])
 
-    return cells.groupBy("root", "a", "b").applyInPandas(cell, f"u {kind}, v {kind}")
-
-
-def marked_texts(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, text, same): rows with a doc_id and the hash of their set; texts stay in their partitions."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            same = []
-            for text in batch.column(1).to_pylist():
-                elements = shingles(text, width)
-                same.append(xxhash.xxh3_128_digest(elements.tobytes()) if len(elements) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.binary())], names=["doc_id", "text", "same"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()).mapInArrow(run, f"doc_id {kind}, text string, same binary")
+    return cells.groupBy("root", "a", "b").applyInPandas(cell, "u long, v long")
 
 
 def similar_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``: components of sets with Jaccard >= ``percent`` / 100.
 
-    Vertices of the search are classes (distinct sets), each with a key of its own; the text of a class is taken from
-    its row with the smallest id, chosen by (set, id), so a second text under a repeated id is a class like any other.
+    Vertices of the search are classes (distinct sets) under their 64-bit keys; the text of a class is taken from its row
+    with the smallest id and this very set, so a second text under a repeated id is a class like any other.
     Classes that share a ``doc_id`` are joined by an edge (rows that share an id are one vertex). A component's id is the
     smallest ``doc_id`` among its rows; every row of an id takes that id's component.
     """
@@ -303,32 +317,27 @@ def similar_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     path = fresh_path(spark, "shingles")
     shingle_sets(docs, width).write.parquet(path)
     stored = spark.read.parquet(path)
-    classes = cut_lineage(stored.where("size > 0 AND doc_id IS NOT NULL").groupBy("same").agg(
-        F.min("doc_id").alias("least"), F.max("size").alias("size")).withColumn("id", F.monotonically_increasing_id()))
+    named = stored.where("size > 0 AND doc_id IS NOT NULL")
+    classes = cut_lineage(named.groupBy("id").agg(F.min("doc_id").alias("least"), F.max("size").alias("size")))
     counts = classes.groupBy(F.least("size", F.lit(128)).alias("size")).agg(F.count("*").alias("sets"), F.sum("size").alias("elements")).collect()
     limit = boundary([(r["size"], r["sets"]) for r in counts], percent) if counts else 1
     parts = max(16, math.ceil(sum(r["elements"] for r in counts) / PART_ELEMENTS))
-    # one text a class: its row with the smallest id, picked by (set, id), so copies of a large class spread by id
-    picks = classes.select(F.col("same").alias("_same"), F.col("least").alias("_least"), F.col("id").alias("_key"))
-    marked = marked_texts(docs, width)
-    heads = marked.join(picks, (F.col("same") == F.col("_same")) & (F.col("doc_id") == F.col("_least"))).select(
-        F.col("_key").alias("doc_id"), "text").dropDuplicates(["doc_id"])
+    rows = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     reach = -(-limit * percent // 100)
-    sent = sent_elements(heads, width, reach, parts)
+    sent = sent_elements(rows, width, reach, parts)
     heavy = heavy_lists(shared_elements(sent, parts), classes.where(F.col("size") >= reach), percent, parts)
     kept = fresh_path(spark, "lists")
-    heavy.unionByName(light_lists(heads, width, percent, limit).withColumn("id", F.col("id").cast("long"))).write.parquet(kept)
+    heavy.unionByName(light_lists(rows, width, percent, limit)).write.parquet(kept)
     entries = spark.read.parquet(kept)
     lists = entries.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where(F.col("first") < F.col("last"))
     shared = lists.select(F.col("key").alias("_key"), "first")
     stars = entries.join(shared, F.col("key") == F.col("_key")).where(F.col("id") != F.col("first")).select(F.col("id").alias("u"), F.col("first").alias("v"))
-    clusters = cut_lineage(components(stars).join(classes.select("id", "size"), "id"))
+    clusters = cut_lineage(components(stars).join(classes, "id"))
     # rows of one id hold one or more classes: those classes are one vertex
-    owned = cut_lineage(stored.where("size > 0 AND doc_id IS NOT NULL").select("doc_id", "same").distinct().join(
-        classes.select("same", "id", "least"), "same"))
+    owned = cut_lineage(named.select("doc_id", "id").distinct().join(classes.select("id", "least"), "id"))
     firsts = owned.groupBy("doc_id").agg(F.min("id").alias("_first"))
     together = owned.join(firsts, "doc_id").where(F.col("id") != F.col("_first")).select(F.col("id").alias("u"), F.col("_first").alias("v"))
-    found = components(links(heads, clusters, width, percent).unionByName(together))
+    found = components(links(rows, clusters, width, percent).unionByName(together))
     rooted = owned.join(found, "id", "left").select("doc_id", F.coalesce("root", "id").alias("root"), "least")
     least = rooted.groupBy("root").agg(F.min("least").alias("_component"))
     per_id = rooted.join(least, "root").groupBy(F.col("doc_id").alias("_id")).agg(F.min("_component").alias("_component"))

@@ -231,3 +231,21 @@ def test_jaccard_keeps_links_of_repeated_ids(spark):
             parent[max(find(d1), find(d2))] = min(find(d1), find(d2))
     want = {(d, len(sets(t)), find(d)) for d, t in rows}
     assert got == want
+
+
+def test_jaccard_sends_copies_once_and_no_texts(spark):
+    """Copies in several tasks are one class without any shuffle of the texts."""
+    from loomwork.llm import jaccard
+
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, words) for i in range(40)] + [(100, words + " extra")]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 4), "doc_id long, text string")
+    sent = jaccard.sent_elements(docs, 3, 1, 4)
+    assert "Exchange" not in sent._jdf.queryExecution().toString()
+    senders = [np.frombuffer(r["ids"], np.int64) for r in sent.collect()]
+    assert max(len(s) for s in senders) <= 2  # a task sends a class once
+    shared = jaccard.shared_elements(sent, 4).collect()
+    assert {int(c) for r in shared for c in np.frombuffer(r["counts"], np.int64)} == {2}  # two classes, whoever sent them
+    assert sum(len(r["keys"]) // 8 for r in shared) == 2 * 58
+    got = jaccard.similar_components(docs.union(docs), 3, 90).collect()
+    assert len(got) == 82 and {(r["doc_id"], r["component_id"]) for r in got} == {(i, 0) for i in [*range(40), 100]}
