@@ -153,6 +153,17 @@ def test_search_returns_every_draw_and_a_model(spark):
     assert "probability" in model.transform(rows).columns
 
 
+def test_search_keeps_only_what_it_fits_on(spark):
+    """Each fold of a search keeps a copy of these rows, so columns no fit reads must not come along."""
+    rows = separable(spark, 400).withColumn("unused", F.lit("x" * 50))
+    stored, weighted = ml._search_rows(rows, ["v1", "v2"], "class")
+    assert stored.columns == ["features", "class"] and stored.is_cached and weighted.columns == ["features", "class", "weight"]
+    sums = {r["class"]: r["w"] for r in weighted.groupBy("class").agg(F.sum("weight").alias("w")).collect()}
+    assert sums[0] == pytest.approx(sums[1])
+    assert "Subquery" not in plan(weighted)  # the ratio is a number
+    stored.unpersist()
+
+
 def test_importance_finds_the_feature(spark):
     model = ml.fit_forest(separable(spark), ["v1", "v2"], trees=20)
     got = {r["feature"]: r["importance"] for r in ml.feature_importance(model, ["v1", "v2"]).collect()}
