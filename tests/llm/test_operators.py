@@ -278,6 +278,48 @@ def test_components_of_chains_and_stars(spark):
     assert got == {**{i: 0 for i in range(41)}, **{k: 100 for k in range(100, 160)}}
 
 
+def tasks_of(spark, work):
+    """Tasks that ran for ``work()``."""
+    context, group = spark.sparkContext, fresh_path(spark, "group")
+    context.setJobGroup(group, group)
+    try:
+        work()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    context._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    tracker = context.statusTracker()
+    stages = {s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds}
+    return sum(info.numCompletedTasks for info in map(tracker.getStageInfo, stages) if info)
+
+
+def test_components_take_few_tasks(many_slices):
+    edges = many_slices.createDataFrame([(0, k) for k in range(1, 60)] + [(k, k + 100) for k in range(1, 60)], "u long, v long").repartition(8)
+    found = []
+    spent = tasks_of(many_slices, lambda: found.extend(components.components(edges).collect()))
+    assert {r.id: r.root for r in found} == {k: 0 for k in [*range(60), *range(101, 160)]} and len(found) == 119
+    assert spent <= 8 * 20  # one round and one look at its result; a second round would go beyond
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_components_of_random_edges(spark, seed):
+    rng = random.Random(seed)
+    names = [rng.getrandbits(63) - (1 << 62) for _ in range(80)]
+    edges = [(rng.choice(names), rng.choice(names)) for _ in range(60)] * 2 + [(None, names[0]), (names[1], None), (names[2], names[2])]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for u, v in edges:
+        if u is not None and v is not None and u != v:
+            x, y = find(u), find(v)
+            root[max(x, y)] = min(x, y)
+    found = components.components(spark.createDataFrame(edges, "u long, v long")).collect()
+    assert sorted((r.id, r.root) for r in found) == sorted((x, find(x)) for x in list(root))
+
+
 def test_pseudonyms_keep_formats_and_go_back(spark, odd, none):
     permuter = privacy.Permuter(b"k")
     card, iban = "4111 1111 1111 1111", "DE89 3704 0044 0532 0130 00"
