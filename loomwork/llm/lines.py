@@ -29,6 +29,7 @@ STRIP = b" \t\n\x0b\x0c\r"
 MIN_CHARS = 20
 MIN_DOCUMENTS = 3
 BATCHES = 4
+SLICE_ROWS = 256
 
 
 def line_hash(line: bytes, min_chars: int) -> bytes | None:
@@ -43,12 +44,19 @@ def lines_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split(b"\n")
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The same rows in pieces of at most ``rows``, so that a task holds the lines of few texts at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, key): the distinct line hashes of every row; read once, nothing but hashes leaves the scan."""
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("key", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             index, keys = [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 found = {h for h in (line_hash(line, min_chars) for line in lines_of(text)) if h}
@@ -115,7 +123,7 @@ def _rebuild(docs: DataFrame, min_chars: int) -> DataFrame:
     schema = T.StructType([*kept, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             at = batch.schema.get_field_index
             texts, lines, dropped = [], [], []
             for text, drop in zip(batch.column(at("text")).to_pylist(), batch.column(at("_drop")).to_pylist()):

@@ -4,11 +4,14 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomwork.llm import (
     components, contamination, jaccard, language, lines, mixing, packing, privacy, quality, suffixes, tokens, toxicity,
@@ -203,6 +206,40 @@ def test_lines_of_odd_rows(spark, odd, none):
     assert lines.drop_repeated_lines(none).count() == 0
 
 
+class Captured:
+    """Stands for a DataFrame whose Arrow function is called here and not in a worker."""
+
+    def __init__(self, schema):
+        self.schema = T._parse_datatype_string(schema)
+
+    def where(self, *_):
+        return self
+
+    select = where
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_line_tasks_hold_few_texts_at_a_time(spark):
+    texts = [f"{LINE}\n" + "\n".join(f"line {k} of text {i} and nothing else" for k in range(120)) for i in range(3000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(3000)), "text": texts})
+    drop = lines.line_hash(LINE.encode(), lines.MIN_CHARS)
+    with_drop = batch.append_column("_drop", pa.array([[drop] if i % 2 else None for i in range(3000)], pa.list_(pa.binary())))
+    peaks = []
+    for run, given in ((lines.line_keys(Captured("doc_id long, text string")), batch),
+                       (lines._rebuild(Captured("doc_id long, text string, _drop array<binary>"), lines.MIN_CHARS), with_drop)):
+        tracemalloc.start()
+        found = [(out.num_rows, out.column(0)[0].as_py(), out.column(out.num_columns - 1)[0].as_py()) for out in run(iter([given]))]
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert sum(n for n, *_ in found) == (3000 if given is with_drop else 3000 * 121) and [i for _, i, _ in found] == sorted({i for _, i, _ in found})
+    assert max(peaks) < 8e6 < sum(map(len, texts))
+    rebuilt = pa.Table.from_batches(run(iter([with_drop])))
+    assert rebuilt["n_lines"].to_pylist() == [121] * 3000 and rebuilt["n_dropped"].to_pylist() == [i % 2 for i in range(3000)]
+    assert rebuilt["text"].to_pylist() == [t[len(LINE) + 1:] if i % 2 else t for i, t in enumerate(texts)]
+
+
 def test_line_runs_are_compacted_and_fresh_lines_are_fresh(spark):
     runs = lines.LineRuns(spark, fresh_path(spark, "runs"), fanout=2)
     batches = [spark.createDataFrame([(10 * b + i, f"key{(b + i) % 4}".encode()) for i in range(3)], "doc_id long, key binary") for b in range(5)]
