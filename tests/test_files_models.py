@@ -227,3 +227,30 @@ def test_text_files_are_moved_by_their_tasks(spark, tmp_path):
     write_text_docs(docs, f"{tmp_path}/t")
     got = {r["source"].split("doc_id=")[1].split("/")[0]: r["content"] for r in read_text_docs(spark, f"{tmp_path}/t").collect()}
     assert got == {"1": "a b", "2": "c", "3": ""}
+
+
+def events_table(spark, folder, n=300):
+    """An event table of its own, written as ``folder/events.parquet``."""
+    kind = F.when(F.col("id") % 7 == 0, "error").otherwise("view")
+    spark.range(n).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(1704067200 + F.col("id") * 977).alias("ts"), (F.col("id") * 13 % 41).alias("user_id"),
+        kind.alias("event_type"), (F.pmod(F.xxhash64("id"), F.lit(1000)) / 10.0 + F.when(F.col("id") % 7 == 0, 40.0).otherwise(0.0)).alias("value"),
+        F.format_string('{"k": %d}', F.col("id") % 100).alias("props"),
+    ).coalesce(1).write.parquet(f"{folder}/events.parquet")
+
+
+def test_the_search_query_draws_from_the_whole_grid(spark, tmp_path, monkeypatch):
+    import __spark_entry__ as entry
+    from loomwork.operators import trees as tr
+
+    events_table(spark, str(tmp_path))
+    asked = []
+    fit = tr.held_out_scores
+    monkeypatch.setattr(tr, "held_out_scores", lambda blocks, cuts, fold, **s: asked.append((fold, s)) or fit(blocks, cuts, fold, **{**s, "maxIter": 2}))
+    monkeypatch.setattr(tr, "boosted", lambda *a, **s: None)
+    monkeypatch.setattr(ml, "PipelineModel", lambda stages: stages)
+    got = entry.queries()["random_search_cv"](spark, str(tmp_path)).collect()
+    assert len(got) == 30 and set(ml.SEARCH_GRID) < set(got[0].asDict())
+    assert len(asked) == 90 and {fold for fold, _ in asked} == {0, 1, 2}
+    assert all(r[name] in ml.SEARCH_GRID[name] for r in got for name in ("maxIter", "maxDepth", "stepSize", "subsamplingRate", "minInfoGain"))
+    assert all(s["maxIter"] >= 100 for _, s in asked)
