@@ -254,3 +254,30 @@ def test_the_search_query_draws_from_the_whole_grid(spark, tmp_path, monkeypatch
     assert len(asked) == 90 and {fold for fold, _ in asked} == {0, 1, 2}
     assert all(r[name] in ml.SEARCH_GRID[name] for r in got for name in ("maxIter", "maxDepth", "stepSize", "subsamplingRate", "minInfoGain"))
     assert all(s["maxIter"] >= 100 for _, s in asked)
+
+
+def test_boosted_trees_are_those_of_spark(spark):
+    """Same rows, bins, splits and leaves as Spark's own, with the weights of an unbalanced label."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import vector_to_array
+
+    rows = separable(spark, 900).withColumn("v3", F.floor(F.col("v1") * 3).cast("double")).cache()
+    names = ["v1", "v2", "v3"]
+    stored, weighted = ml._search_rows(rows, names, "class")
+    for settings in ({"maxIter": 12, "maxDepth": 3}, {"maxIter": 6, "maxDepth": 5, "minInstancesPerNode": 5, "minInfoGain": 0.01}):
+        theirs = GBTClassifier(labelCol="class", weightCol="weight", stepSize=0.1, seed=1, **settings).fit(weighted).transform(weighted)
+        want = [r[0] for r in theirs.select(vector_to_array("probability")[1]).collect()]
+        model = ml.fit_boosted(rows, names, seed=1, **settings)
+        got = [r["score"] for r in ml.predict_scores(model, rows, ["id"], "m").collect()]
+        assert got == pytest.approx(want, abs=1e-9)
+    stored.unpersist()
+
+
+def test_boosted_trees_above_a_task_are_left_to_spark(spark, monkeypatch):
+    from loomwork.operators import trees as tr
+
+    rows = separable(spark, 300).cache()
+    monkeypatch.setattr(tr, "TASK_ROWS", 100)
+    assert not isinstance(ml.fit_boosted(rows, ["v1", "v2"], maxIter=2).stages[-1], tr.BoostedModel)
+    got, _ = ml.random_search_cv(rows, ["v1", "v2"], draws=2, folds=2, grid={"maxIter": [2], "maxDepth": [2, 3]})
+    assert got.count() == 2
