@@ -116,3 +116,15 @@ def test_prompt(spark):
     got = {r["query_id"]: r["prompt"] for r in tt.assemble_prompt(found, asked).collect()}
     assert got[1] == "Answer based on context:\n\n[1] (source: f.txt)\none\n\n[2] (source: unknown)\ntwo\n\nQuestion: Why?\n\nAnswer:"
     assert got[2] == "Answer based on context:\n\n\n\nQuestion: How?\n\nAnswer:"
+
+
+def test_chunks_of_odd_texts_and_missing_ones(spark):
+    assert cut(spark, None, 20, 5) == []
+    assert cut(spark, "a.\u2003b.\x1cc! \u3000d?" + "e" * 9, 9, 0) == ["a. b.\x1cc!", "d?eeeeeeeee"]  # \x1c is trimmed but ends no sentence
+    assert cut(spark, "\U0001f600" * 5 + "\n\n" + "\x1f\n\n" + "b", 6, 0) == ["\U0001f600" * 5, "b"]
+
+
+def test_a_text_is_chunked_in_one_pass(spark):
+    docs = spark.range(3).select(F.col("id").alias("doc_id"), F.lit("One. Two.").alias("content"))
+    plan = tt.chunk_documents(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "aggregate(" not in plan and plan.count("EvalPython") == 1

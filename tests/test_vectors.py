@@ -152,3 +152,20 @@ def test_many_queries_do_not_multiply_the_candidates(spark, monkeypatch):
     found = vx.nearest(frame(spark, cands, "cand_id").repartition(3), frame(spark, queries, "query_id"), 4)
     assert "CoGroup" not in found._jdf.queryExecution().analyzed().toString()
     assert {(r["query_id"], r["rank"]): r["cand_id"] for r in found.collect()} == brute(cands, queries, 4, "ip")
+
+
+def test_twenty_thousand_queries_are_one_scan(spark, monkeypatch):
+    """Every part of the queries has all candidates encoded again, so a part holds what a task can."""
+    scans, scan = [], vx._against
+    monkeypatch.setattr(vx, "_against", lambda *a: scans.append(1) or scan(*a))
+    cands = spark.range(40).select(F.col("id").alias("cand_id"), F.array((F.col("id") - 20).cast("double"), F.lit(1.0)).alias("v"))
+    asks = spark.range(20000).select(F.col("id").alias("query_id"), F.array(F.when(F.col("id") % 2 == 0, 1.0).otherwise(-1.0), F.lit(0.0)).alias("v"))
+    got = vx.nearest(cands, asks, 2).groupBy((F.col("query_id") % 2).alias("odd"), "rank", "cand_id").count().collect()
+    assert {(r["odd"], r["rank"], r["cand_id"], r["count"]) for r in got} == {(0, 1, 39, 10000), (0, 2, 38, 10000), (1, 1, 0, 10000), (1, 2, 1, 10000)}
+    assert len(scans) == 1
+
+
+def test_lengths_beyond_single_precision_are_screened_in_double(spark):
+    cands = spark.createDataFrame([(1, [3e30, 1.0]), (2, [4e30, 1.0]), (3, [-4e30, 2.0])], "cand_id bigint, v array<double>")
+    asks = spark.createDataFrame([(7, [2e20, 0.0])], "query_id bigint, v array<double>")
+    assert [r["cand_id"] for r in vx.nearest(cands, asks, 3).orderBy("rank").collect()] == [2, 1, 3]
