@@ -311,10 +311,12 @@ def _(spark, folder):
 SELECT doc_id, md5({strip_sql("text")}) AS content_md5, 'txt' AS file_type, 1::BIGINT AS page, 1::BIGINT AS total_pages FROM documents""")
 def _(spark, folder):
     """The documents written out as one text file each, in the shared folder, and read back whole."""
-    from loomwork.session import fresh_path
+    from loomwork.session import fresh_path, small_files
     from loomwork.sources.files import read_text_docs, write_text_docs
 
     path = fresh_path(spark, "texts")
     write_text_docs(table(spark, folder, "documents").select("doc_id", "text"), path)
     ident = F.regexp_extract("source", r"doc_id=(\d+)", 1).cast("bigint").alias("doc_id")
-    return read_text_docs(spark, path).select(ident, F.md5(F.col("content").cast("binary")).alias("content_md5"), "file_type", "page", "total_pages")
+    with small_files(spark):
+        read = read_text_docs(spark, path)
+        return stored(read.select(ident, F.md5(F.col("content").cast("binary")).alias("content_md5"), "file_type", "page", "total_pages"), "digests")

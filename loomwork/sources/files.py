@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
+from collections.abc import Callable, Iterator
+from urllib.parse import unquote, urlsplit
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,14 +38,63 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType = TRANSA
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
 
 
+# What Spark calls the folder of a missing key, and the characters it escapes in one.
+NO_KEY = "__HIVE_DEFAULT_PARTITION__"
+ESCAPED = re.compile("[\x01-\x1f\"#%'*/:=?\\\\\x7f{\\[\\]^]")
+
+
+def mounted(spark: SparkSession, path: str) -> str | None:
+    """The path as the operating system names it, where the folder is on a file system that all executors mount."""
+    where = urlsplit(path)
+    home = urlsplit(spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///")
+    return unquote(where.path) if (where.scheme or home.scheme) == "file" else None
+
+
+def _write_files(root: str, key: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come in the order of their keys; a file appears under its name once it is whole."""
+        name, out, done = None, None, 0
+        own = f"part-{uuid.uuid4().hex}.tmp"
+
+        def close() -> int:
+            if out is None:
+                return 0
+            out.close()
+            os.replace(f"{root}/{name}/{own}", f"{root}/{name}/part-00000.txt")
+            return 1
+
+        for batch in batches:
+            for value, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                folder = f"{key}={ESCAPED.sub(lambda c: f'%{ord(c[0]):02X}', value) if value else NO_KEY}"
+                if folder != name:
+                    done += close()
+                    name = folder
+                    os.makedirs(f"{root}/{name}", exist_ok=True)
+                    out = open(f"{root}/{name}/{own}", "wb")
+                out.write((text or b"") + b"\n")
+        done += close()
+        yield pa.RecordBatch.from_pydict({"files": pa.array([done], pa.int64())})
+
+    return write
+
+
 def write_text_docs(texts: DataFrame, path: str, key: str = "doc_id") -> None:
     """One text file per ``key`` (its folder named by it) in a new folder, from a key and one text column.
 
-    Every task moves its own files into place (commit algorithm 2): left to the driver, one folder per document would be
-    moved one after the other.
+    On a mounted file system tasks write the files themselves: Spark's writer starts a ``chmod`` for each of them and moves
+    them into place one by one. Elsewhere Spark writes them, every task moving its own files (commit algorithm 2).
     """
-    writer = texts.repartition(key).write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-    writer.partitionBy(key).text(path)
+    root = mounted(texts.sparkSession, path)
+    if root is None:
+        writer = texts.repartition(key).write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        writer.partitionBy(key).text(path)
+        return
+    os.makedirs(root)
+    text = next(c for c in texts.columns if c != key)
+    named = texts.select(F.col(key).cast("string").alias("key"), F.col(text).cast("binary").alias("text"))
+    # a missing key and an empty one share a folder, so they go to one task and come together
+    dealt = named.withColumn("key", F.coalesce("key", F.lit(""))).repartition("key").sortWithinPartitions("key")
+    dealt.mapInArrow(_write_files(root, key), "files bigint").write.format("noop").mode("overwrite").save()
 
 
 def read_text_docs(spark: SparkSession, folder: str, suffix: str = ".txt") -> DataFrame:

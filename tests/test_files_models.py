@@ -281,3 +281,46 @@ def test_boosted_trees_above_a_task_are_left_to_spark(spark, monkeypatch):
     assert not isinstance(ml.fit_boosted(rows, ["v1", "v2"], maxIter=2).stages[-1], tr.BoostedModel)
     got, _ = ml.random_search_cv(rows, ["v1", "v2"], draws=2, folds=2, grid={"maxIter": [2], "maxDepth": [2, 3]})
     assert got.count() == 2
+
+
+def test_text_files_are_written_whole_without_a_writer_of_their_own(spark, tmp_path):
+    """Spark's writer leaves a checksum beside every file and starts a process to set its mode."""
+    rows = [("1", "a\nb"), ("1", "a\nb"), ("2", None), (None, "no key"), ("", "empty key"), ("x/y=%", "é "), ("x y", "z")]
+    docs = spark.createDataFrame(rows, "name string, text string").repartition(3)
+    files.write_text_docs(docs, f"file:{tmp_path}/here", "name")
+    docs.repartition("name").write.partitionBy("name").text(f"{tmp_path}/spark")
+
+    def texts(folder):
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").load(f"{tmp_path}/{folder}")
+        return {r["path"].split("/")[-2]: sorted(bytes(r["content"]).splitlines()) for r in listed.collect()}
+
+    assert texts("here") == texts("spark") and len(texts("here")) == 5
+    assert {name for _, _, names in os.walk(tmp_path / "here") for name in names} == {"part-00000.txt"}
+    with pytest.raises(FileExistsError):
+        files.write_text_docs(docs, f"{tmp_path}/here", "name")
+
+
+def test_only_mounted_folders_are_written_directly(spark):
+    assert files.mounted(spark, "/a/b") == files.mounted(spark, "file:/a/b") == files.mounted(spark, "file:///a/b") == "/a/b"
+    assert files.mounted(spark, "hdfs://host/a/b") is None and files.mounted(spark, "s3a://bucket/a") is None
+
+
+def test_many_small_files_are_a_few_tasks(spark, tmp_path):
+    from loomwork.session import small_files
+
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in range(600):
+        (folder / f"{i}.txt").write_text(f"text {i}")
+    name = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16m")
+    try:
+        plain = files.read_text_docs(spark, str(folder)).rdd.getNumPartitions()
+        with small_files(spark):
+            packed = files.read_text_docs(spark, str(folder))
+            assert packed.rdd.getNumPartitions() <= 9 < plain
+            assert packed.select("content").distinct().count() == 600
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert spark.conf.get(name) == before
